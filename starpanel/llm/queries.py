@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starpanel.llm.merge_replay import op8_merge_replay
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op8_merge_replay": op8_merge_replay,
 }
 
 ORACLE_SQL: dict[str, str] = {}
