@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starpanel.llm.merge_replay import op8_merge_replay
+from starpanel.llm.license_scan import op10_license_scan
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_license_scan": op10_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op8_merge_replay": op8_merge_replay,
 }
