@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starpanel.llm.merge_replay import op8_merge_replay
 from starpanel.llm.license_scan import op10_license_scan
+from starpanel.llm.pii import op9_pii
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op8_merge_replay": op8_merge_replay,
