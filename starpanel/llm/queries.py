@@ -10,9 +10,11 @@ from starpanel.llm.merge_replay import op8_merge_replay
 from starpanel.llm.license_scan import op10_license_scan
 from starpanel.llm.pii import op9_pii
 from starpanel.llm.packing import op5_packing
+from starpanel.llm.embedding_dedup import op1_embedding_dedup
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op5_packing": op5_packing,
     "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
