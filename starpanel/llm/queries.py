@@ -11,9 +11,12 @@ from starpanel.llm.license_scan import op10_license_scan
 from starpanel.llm.pii import op9_pii
 from starpanel.llm.packing import op5_packing
 from starpanel.llm.embedding_dedup import op1_embedding_dedup
+from starpanel.llm.topk_search import ORACLE as TOPK_SQL
+from starpanel.llm.topk_search import op4_topk_search
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_topk_search": op4_topk_search,
     "op1_embedding_dedup": op1_embedding_dedup,
     "op5_packing": op5_packing,
     "op9_pii": op9_pii,
@@ -22,4 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merge_replay": op8_merge_replay,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_topk_search": TOPK_SQL,
+}
