@@ -13,9 +13,11 @@ from starpanel.llm.packing import op5_packing
 from starpanel.llm.embedding_dedup import op1_embedding_dedup
 from starpanel.llm.topk_search import ORACLE as TOPK_SQL
 from starpanel.llm.topk_search import op4_topk_search
+from starpanel.llm.minhash_dedup import op6_minhash_dedup
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op4_topk_search": op4_topk_search,
     "op1_embedding_dedup": op1_embedding_dedup,
     "op5_packing": op5_packing,
