@@ -15,9 +15,11 @@ from starpanel.llm.topk_search import ORACLE as TOPK_SQL
 from starpanel.llm.topk_search import op4_topk_search
 from starpanel.llm.minhash_dedup import op6_minhash_dedup
 from starpanel.llm.quality import op3_quality
+from starpanel.llm.token_counts import op7_token_counts
 from starpanel.llm.secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_token_counts": op7_token_counts,
     "op3_quality": op3_quality,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op4_topk_search": op4_topk_search,

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starpanel.llm.common import small_batches, table
 
@@ -165,10 +166,9 @@ def redacted(text: str | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows and columns; secrets in the text are replaced."""
+def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The same rows and columns; secrets in the text are replaced, and a column that holds its length follows."""
     small_batches(docs.sparkSession)
-    schema = docs.schema
     k = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +176,11 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = pa.array([redacted(t) for t in batch.column(k).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([texts if i == k else c for i, c in enumerate(batch.columns)], batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    out = docs.mapInArrow(run, docs.schema)
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        out = out.select(*(F.coalesce(F.length(text_col).cast(kind), c).alias(c) if c == length_col else c for c in docs.columns))
+    return out
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
