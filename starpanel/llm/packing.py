@@ -41,7 +41,7 @@ class WordIds:
     ``size``: words whose ids are kept.
     """
 
-    def __init__(self, path: str, size: int = 500_000):
+    def __init__(self, path: str, size: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -78,7 +78,8 @@ class WordIds:
             at = end
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        words = [_WORD.findall(t) for t in texts]
+        # ASCII letters in lower case from here on: the tokenizer would do it, and fewer words differ.
+        words = [_WORD.findall(t.lower() if t.isascii() else t.encode().lower().decode()) for t in texts]
         self.learn(set().union(*words))
         of = self.known.__getitem__
         return [b"".join(map(of, w)) for w in words]
@@ -117,7 +118,7 @@ def curve_keys(texts: list[str]) -> np.ndarray:
     project = np.random.default_rng(7).standard_normal((BUCKETS, DIMENSIONS))
     vectors = np.zeros((len(texts), BUCKETS))
     for k, t in enumerate(texts):
-        b = np.frombuffer(t.encode(), np.uint8).astype(np.int32)
+        b = np.frombuffer(t.encode(), np.uint8).astype(np.uint16)
         if len(b) > 2:
             vectors[k] = np.bincount((b[:-2] * 7 + b[1:-1] * 61 + b[2:] * 397) & BUCKETS - 1, minlength=BUCKETS)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
