@@ -1,8 +1,8 @@
 """Personal data (operator 9): base patterns and bootstrapped contextual extraction, with DataFrame functions only.
 
 Base spans (e-mail, IP, card, phone) are seeds. Identifier-shaped tokens (those with a digit or @) are instances;
-the words around an instance are its lexical patterns. A pattern's confidence is the mean score of its instances,
-shrunk by its support; an instance's score is the noisy-or of its patterns. Scores are iterated over the
+the words around an instance are its lexical patterns. A pattern's confidence is the mean score of its instances'
+occurrences, shrunk by their number; an instance's score is the noisy-or of its patterns. Scores are iterated over the
 pattern-instance graph from the seeds outwards, and instances that end above the threshold are added spans.
 
 Positions come from splitting a text by the same pattern that extracts its matches: a match starts after all
@@ -113,7 +113,7 @@ def scan(
 ) -> DataFrame:
     """One row per document: id, n_email, n_ip, n_card, n_phone, n_context, base_sha256, spans.
 
-    ``rounds``: passes over the pattern-instance graph. ``support``: distinct seeds that a pattern needs.
+    ``rounds``: passes over the pattern-instance graph. ``support``: occurrences of seeds that a pattern needs.
     ``least``: score of an instance that is added. ``least_digits``: digits that it must have.
     """
     written = Written(docs.sparkSession)
@@ -135,13 +135,13 @@ def scan(
         F.when((l1 != "") & (r1 != ""), F.concat_ws(" ", F.lit("both"), l1, r1)),
     ))
     graph = tokens.select(F.explode(patterns).alias("pattern"), F.col("match").alias("instance"), "seed")
-    graph = graph.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    graph = graph.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("times"))
     # A pattern with too few seeds never gets confident: it leaves the graph at once.
-    firm = graph.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count("*").alias("n")).where(F.col("seeds") >= support)
-    graph = written(graph.join(firm, "pattern").select("pattern", "instance", "seed", "n"), "graph")
+    firm = graph.groupBy("pattern").agg(F.coalesce(F.sum(F.when(F.col("seed"), F.col("times"))), F.lit(0)).alias("seeds"), F.sum("times").alias("n")).where(F.col("seeds") >= support)
+    graph = written(graph.join(firm, "pattern").select("pattern", "instance", "seed", "times", "n"), "graph")
     scores = graph.select("instance", F.col("seed").cast("double").alias("score")).groupBy("instance").agg(F.max("score").alias("score"))
     for _ in range(rounds):
-        confident = graph.join(scores, "instance").groupBy("pattern").agg((F.sum("score") / (F.first("n") + 2)).alias("confidence"))
+        confident = graph.join(scores, "instance").groupBy("pattern").agg((F.sum(F.col("score") * F.col("times")) / (F.first("n") + 2)).alias("confidence"))
         new = graph.join(confident, "pattern").groupBy("instance").agg(
             F.max("seed").alias("seed"), (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("confidence")))))).alias("score")
         )
