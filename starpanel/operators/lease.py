@@ -30,12 +30,15 @@ class Lease:
     def acquire(self) -> None:
         """Atomic: of any number of callers one succeeds."""
         os.makedirs(os.path.dirname(self.path), exist_ok=True)
+        part = f"{self.path}.{self.holder}"
+        with open(part, "w") as f:
+            json.dump({"holder": self.holder, "acquired_at": time.time(), "heartbeat_at": time.time(), "stage": None}, f)
         try:
-            fd = os.open(self.path, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+            os.link(part, self.path)  # whole or not at all, and only where none is
         except FileExistsError:
             raise LeaseHeld(f"held by {(self._state() or {}).get('holder')}") from None
-        with os.fdopen(fd, "w") as f:
-            json.dump({"holder": self.holder, "acquired_at": time.time(), "heartbeat_at": time.time(), "stage": None}, f)
+        finally:
+            os.unlink(part)
 
     def require(self) -> None:
         if (self._state() or {}).get("holder") != self.holder:
