@@ -1 +1 @@
-
+"""Column functions and label ladders."""

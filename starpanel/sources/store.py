@@ -57,8 +57,12 @@ class Warehouse:
             if name in TABLES:
                 return empty(self.spark, name)
             raise KeyError(name)
-        df = self.spark.read.parquet(os.path.join(self.root, where))
-        return df.select(*TABLES[name].columns) if name in TABLES else df
+        return self._open(name, where)
+
+    def _open(self, name: str, where: str) -> DataFrame:
+        """A registered table is read by its schema: a version without rows may have no files."""
+        reader = self.spark.read.schema(TABLES[name].schema) if name in TABLES else self.spark.read
+        return reader.parquet(os.path.join(self.root, where))
 
     def write(self, df: DataFrame, name: str) -> str:
         """Writes a version of a table, clustered and partitioned as registered; it isn't visible yet."""
@@ -89,7 +93,7 @@ class Warehouse:
             for name, df in tables.items():
                 written[name] = self.write(df, name)
             if check:
-                check({n: self.spark.read.parquet(os.path.join(self.root, w)) for n, w in written.items()})
+                check({n: self._open(n, w) for n, w in written.items()})
             after = before | {"tables": before["tables"] | written, "labels": {**before["labels"], **{n: before["labels"].get(n, {}) | x for n, x in (labels or {}).items()}}}
             self._publish(after, before["version"])
         except BaseException:

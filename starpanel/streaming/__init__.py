@@ -1 +1 @@
-
+"""Nothing streams here: loads are batches with a high-water mark (plans/load.py)."""
