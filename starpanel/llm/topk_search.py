@@ -11,7 +11,8 @@ and one batch of candidates. Each task gives at most k rows per query; a window
 
 Vectors that are null, empty or hold null or non-finite components, and rows with a null id, take no part; vectors of
 different lengths aren't compared; ties go to the smaller id; a row with the query's own id is the query itself;
-repeated rows are candidates each; an empty table gives an empty table; other columns are not looked at.
+repeated rows are candidates each; an empty table gives an empty table; other columns are not looked at. Components
+so large that a score may pass 2^53 raise OverflowError: their product is not exact in double precision.
 """
 
 from __future__ import annotations
