@@ -67,9 +67,10 @@ def with_unknown(dim: DataFrame, name: str) -> DataFrame:
 def numbered(members: DataFrame, key: str, order: Sequence[str], start: int) -> DataFrame:
     """Keys start + 1, start + 2, ... in the order of the natural key, without one task for all members.
 
-    Members are range-partitioned; the sizes of the partitions (a row each) give the offset of each partition.
+    Members are range-partitioned; the sizes of the partitions (a row each) give the offset of each partition. The
+    partitioned members are persisted: sizes and positions must come from one partitioning, and its bounds are sampled.
     """
-    members = members.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    members = members.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).persist()
     within = Window.partitionBy("__p").orderBy(*order)
     sizes = members.groupBy("__p").agg(F.count("*").alias("__n"))
     offsets = sizes.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"))
