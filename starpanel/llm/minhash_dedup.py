@@ -6,8 +6,9 @@ more than ``radius`` positions with a probability below 1e-7; every pair within
 are split into radius // 2 + 1 chunks, so that by pigeonhole some chunk of the pair has at most one error, and each
 class is entered once for each position that may be the error, under the rest of its chunk.
 
-1. Buckets: a pass over entries sorted by key links each entry of a bucket to one hub of it (another hub in each
-   bucket), if the signatures are within the radius. Groups of such links are candidates.
+1. Buckets: a pass over entries sorted by key links each entry of a bucket to one hub of it (the entry that comes
+   first in one order of all entries, so that buckets of the same entries share their hub), if the signatures are
+   within the radius. Groups of such links are candidates.
 2. A bucket whose entries still lie in several groups is compared entry by entry across groups, in a grid of blocks.
    Now every pair within the radius that shares a bucket lies in one group.
 3. Groups are confirmed on full sets, recomputed from the whole texts: a group of up to BLOCK classes at once, a
@@ -36,6 +37,8 @@ from starpanel.llm.common import Written, components, small_batches, table
 from starpanel.llm.embedding_dedup import fold
 
 POSITIONS, BLOCK = 64, 512
+#: Entries of a bucket that are compared by their signatures at once.
+BUCKET_BLOCK = 2048
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -198,7 +201,7 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
             yield pd.DataFrame({"key": np.concatenate(out_key), "id": np.concatenate(out_id), "hub": np.concatenate(out_hub)})
 
     entered = classes.select("id", "sig").mapInPandas(enter, "key long, id long")
-    entered = entered.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "id"))
+    entered = entered.repartition("key").sortWithinPartitions("key", F.xxhash64("id"), "id")
     members = written(entered.mapInPandas(bucket, "key long, id long, hub long"), "members")
     sig = classes.select("id", "n", "sig")
     star = members.where("id <> hub").select("id", "hub").distinct()
@@ -282,7 +285,7 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
 
 def _grid(df: DataFrame, by: list[str], id_col: str, count: str) -> DataFrame:
     """Rows dealt to pairs (i, j) of blocks, i <= j, so that any two rows of a group meet in one; few rows are one block."""
-    blocks, zero = F.ceil(F.col(count) / BLOCK), F.lit(0).cast("long")
+    blocks, zero = F.ceil(F.col(count) / BUCKET_BLOCK), F.lit(0).cast("long")
     df = df.withColumn("__b", F.pmod(F.xxhash64(*by, id_col), blocks)).withColumn("__o", F.explode(F.sequence(zero, blocks - 1)))
     return df.withColumn("i", F.least("__b", "__o")).withColumn("j", F.greatest("__b", "__o")).drop("__b", "__o")
 
