@@ -9,8 +9,8 @@ class is entered once for each position that may be the error, under the rest of
 1. Buckets: a pass over entries sorted by key links each entry of a bucket to one hub of it (the entry that comes
    first in one order of all entries, so that buckets of the same entries share their hub), if the signatures are
    within the radius. Groups of such links are candidates.
-2. A bucket whose entries still lie in several groups is compared entry by entry across groups, in a grid of blocks.
-   Now every pair within the radius that shares a bucket lies in one group.
+2. A bucket whose entries still lie in several groups is compared entry by entry across groups, in a grid of blocks;
+   groups that a pair connects are joined. Now every pair within the radius that shares a bucket lies in one group.
 3. Groups are confirmed on full sets, recomputed from the whole texts: a group of up to BLOCK classes at once, a
    larger one twice by random blocks, and then in a grid of those outside the group's largest confirmed component
    against all. All pairs of a group are compared on one of these ways or already connected.
@@ -224,13 +224,16 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _groups(batches, ["key", "i", "j"]):
-            s, n, g, ids = _signature_column(part["sig"]), part["n"].to_numpy(), part["g"].to_numpy(), part["id"].to_numpy()
+            s, n, g = _signature_column(part["sig"]), part["n"].to_numpy(), part["g"].to_numpy()
             a, b = np.nonzero(np.triu(_near(s, n, s, n, within, percent) & (g[:, None] != g[None, :])))
-            if len(a):
-                yield links(ids, a, b)
-
-    candidates = written(candidates.union(open_.mapInPandas(across, "u long, v long")), "candidates")
-    group = components(written, candidates, "candidate-groups")
+            if len(a):  # groups are what is linked here, so a bucket gives fewer links than it has groups
+                labels, place = np.unique(g, return_inverse=True)
+                yield links(labels, place[a], place[b])
+
+    joined = components(written, written(open_.mapInPandas(across, "u long, v long").distinct(), "across"), "joined-groups")
+    onto = joined.select(F.col("node").alias("__g"), F.col("component").alias("__onto"))
+    alone = joined.join(group, "node", "left_anti").select("node", "component")  # entries that had no link to a hub
+    group = group.join(onto, group.component == onto["__g"], "left").select("node", F.coalesce("__onto", "component").alias("component")).unionByName(alone)
 
     # 3. Confirmation on full sets.
     size = group.groupBy("component").agg(F.count("*").alias("c"))
