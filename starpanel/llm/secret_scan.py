@@ -119,13 +119,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def spans_of(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """The base spans and those that the method adds; an added span lies clear of all base spans."""
+    """The base spans and those that the method adds; an added span may overlap base spans but is not inside one."""
     if not text:
         return [], []
     base, added = base_spans(text), []
     if "=" in text or ":" in text:
         for a, b in literal_spans(text):
-            if not any(s < b and a < e for s, e, _ in base):
+            if not any(s <= a and b <= e for s, e, _ in base):
                 added.append((a, b, "literal"))
     return base, added
 

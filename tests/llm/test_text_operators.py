@@ -107,6 +107,15 @@ def test_secrets_by_syntax():
     assert secret_scan.redacted("nothing here") == "nothing here"
 
 
+def test_secrets_beyond_base_spans():
+    text = 'password = "Abcdef123456!Rest#of-it"'
+    base, added = secret_scan.spans_of(text)
+    assert base == [(0, 24, "assign")] and [text[a:b] for a, b, _ in added] == ["Abcdef123456!Rest#of-it"]
+    assert secret_scan.redacted(text) == '[REDACTED]"'
+    assert secret_scan.redacted('signing_key = "Zx!0123456789abcdef#Qw"') == 'signing_key = "[REDACTED]"'
+    assert secret_scan.spans_of("token = 'abcdefghijklmnop1'")[1] == []
+
+
 def test_redact_keeps_columns(docs):
     out = secret_scan.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
