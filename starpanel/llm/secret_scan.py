@@ -56,19 +56,76 @@ def name_score(name: str) -> float:
     return min(1.0, max(weights, default=0.0) + 0.3 * max(0, len(weights) - 1))
 
 
-def value_score(value: str) -> float:
-    """0 to 1: how much a literal looks like key material: length, entropy, no placeholder, no template."""
-    if len(value) < 8 or " " in value or value[0] in "$<{%" or any(p in value.lower() for p in PLACEHOLDERS):
+_BESIDE = max(map(len, PLACEHOLDERS)) - 1
+
+
+class _Value:
+    """What a name stands for: spans of the text and other values, shared by reference."""
+
+    __slots__ = ("parts", "facts")
+
+    def __init__(self, parts: tuple):
+        self.parts, self.facts = parts, None
+
+
+def _facts(value: str) -> tuple:
+    """What a score needs: length, counts of characters, the first, if there is a placeholder, both ends in lower case."""
+    low = value.lower()
+    return len(value), Counter(value), value[:1], any(p in low for p in PLACEHOLDERS), low[:_BESIDE], low[-_BESIDE:]
+
+
+def _joined_facts(every: list[tuple]) -> tuple:
+    """The facts of a concatenation, from those of its parts."""
+    counts, first, placeholder, head, tail = Counter(), "", False, "", ""
+    for _, c, f, p, h, t in every:
+        counts.update(c)
+        first, placeholder = first or f, placeholder or p or any(x in tail + h for x in PLACEHOLDERS)
+        head = head if len(head) == _BESIDE else (head + h)[:_BESIDE]
+        tail = (tail + t)[-_BESIDE:]
+    n = sum(counts.values())
+    if n > 1 << 256:  # a constant joined to itself again and again: shares of characters are all that counts
+        counts = Counter({c: max(1, k >> 128) for c, k in counts.items()})
+        n = sum(counts.values())
+    return n, counts, first, placeholder, head, tail
+
+
+def _facts_of(text: str, value: _Value) -> tuple:
+    """The facts of a value; each value below it is looked at once, and none recursively."""
+    todo = [value]
+    while todo:
+        v = todo[-1]
+        below = [p for p in v.parts if isinstance(p, _Value) and p.facts is None] if v.facts is None else []
+        if below:
+            todo += below
+            continue
+        todo.pop()
+        if v.facts is None:
+            every = [p.facts if isinstance(p, _Value) else _facts(text[p[0] : p[1]]) for p in v.parts]
+            v.facts = every[0] if len(every) == 1 else _joined_facts(every)
+    return value.facts
+
+
+def _score(facts: tuple) -> float:
+    n, counts, first, placeholder, *_ = facts
+    if n < 8 or " " in counts or first in "$<{%" or placeholder:
         return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    chars = "".join(counts)
+    classes = sum(bool(re.search(p, chars)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, max(0.0, (entropy - 2.0) / 1.2)) * (1.0 if classes >= 2 else 0.6)
 
 
+def value_score(value: str) -> float:
+    """0 to 1: how much a literal looks like key material: length, entropy, no placeholder, no template."""
+    return _score(_facts(value))
+
+
 def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
-    """Spans of literals that reach a sensitive name, by assignment, reference or concatenation."""
-    constants: dict[str, list[tuple[int, int]]] = {}
+    """Spans of literals that reach a sensitive name, by assignment, reference or concatenation.
+
+    Constants keep all their parts, by reference: a value's facts and spans are worked out once for all that use it.
+    """
+    constants: dict[str, _Value] = {}
     found: set[tuple[int, int]] = set()
     at = 0
     for line in text.split("\n"):
@@ -86,7 +143,7 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
                     if kind == "string":
                         parts.append((start + 1, end - 1))
                     elif kind == "word" and value in constants:
-                        parts += constants[value]
+                        parts.append(constants[value])
                     elif kind in ("word", "bare"):
                         parts.append((start, end))
                     else:
@@ -98,17 +155,28 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
                         break
                 if parts:
                     # A literal keeps its own place when a constant carries it on.
-                    constants[name] = parts[:16]
+                    constants[name] = _Value(tuple(parts))
                     weight = name_score(name)
-                    if weight:
-                        whole = "".join(text[a:b] for a, b in parts)
-                        if weight * value_score(whole) >= least:
-                            found.update((a, b) for a, b in parts if b > a)
+                    if weight and weight * _score(_facts_of(text, constants[name])) >= least:
+                        _take(constants[name], found)
                 i = j if parts and not (j < len(tokens) and tokens[j][0] == "op") else i + 1
         at += len(line) + 1
     return sorted(found)
 
 
+def _take(value: _Value, found: set[tuple[int, int]]) -> None:
+    """Adds all spans of a value; what has been added has no parts any more."""
+    todo = [value]
+    while todo:
+        v = todo.pop()
+        for p in v.parts:
+            if isinstance(p, _Value):
+                todo.append(p)
+            elif p[1] > p[0]:
+                found.add(p)
+        v.parts = ()
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     out = []
     if _KEYWORD.search(text):

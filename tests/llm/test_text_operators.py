@@ -116,6 +116,17 @@ def test_secrets_beyond_base_spans():
     assert secret_scan.spans_of("token = 'abcdefghijklmnop1'")[1] == []
 
 
+def test_secrets_of_many_parts():
+    found = lambda t: [t[a:b] for a, b, _ in secret_scan.spans_of(t)[1]]
+    pieces = [f"{i:02d}x#K" for i in range(40)]
+    joined = " + ".join(f'"{p}"' for p in pieces)
+    assert found(f"a = {joined}\nsigning_key = a") == pieces
+    chain = 'a0 = "00x#K"\n' + "".join(f'a{i} = a{i - 1} + "{p}"\n' for i, p in enumerate(pieces) if i)
+    assert found(f"{chain}signing_key = a39") == pieces
+    assert found('a = "Zx9#kQ7"\n' + "a = a + a\n" * 3000 + "signing_key = a") == ["Zx9#kQ7"] and found('a = "Zx9#kQ7"\nsigning_key = a') == []
+    assert found('a = "Zx9#kQ72!exam"\nb = a + "ple"\nsigning_key = b\nsigning_key = a') == ["Zx9#kQ72!exam"]
+
+
 def test_redact_keeps_columns(docs):
     out = secret_scan.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
