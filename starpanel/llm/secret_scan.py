@@ -45,6 +45,11 @@ _TOKEN = re.compile(
     r"""|(?P<op>:=|=>|==|[=:](?!//))|(?P<plus>\+)|(?P<end>[,;{}()\[\]#])"""
     r"""|(?P<word>[A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)|(?P<bare>[^\s"'`,;{}()\[\]#=:+]+)"""
 )
+# An unquoted value; the word that it starts with; what may join its end to a literal without white space.
+_RUN = re.compile(r"""[^\s"'`,;{}()\[\]]*""")
+_LEAD = re.compile(r"[A-Za-z_$][\w$]*(?:[.\-][\w$]+)*")
+_JOINT = re.compile(r"(?:[=:]+>?|\+)?$")
+_BLANK = re.compile(r"\s*")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -120,48 +125,113 @@ def value_score(value: str) -> float:
     return _score(_facts(value))
 
 
+def _unquoted(text: str, start: int, stop: int, strings: dict[int, int], constants: dict[str, _Value]) -> int:
+    """The end of an unquoted value: white space, a delimiter, or what joins it to a literal that follows."""
+    end = start
+    while True:
+        end = _RUN.match(text, end, stop).end()
+        if end == stop or text[end] not in "\"'`" or end in strings:
+            break
+        end += 1  # a quote that no other closes
+    if end in strings:
+        end -= len(_JOINT.search(text[max(start, end - 3) : end]).group())
+    elif end - 1 > start and text[end - 1] == "+":
+        after = _BLANK.match(text, end, stop).end()
+        word = _LEAD.match(text, after, stop)
+        if after in strings or word and word.group() in constants or text[start : end - 1] in constants:
+            end -= 1
+    return end
+
+
 def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, by assignment, reference or concatenation.
 
+    An unquoted value is one run of characters up to white space, a comma, a semicolon, a bracket or a quoted literal.
     Constants keep all their parts, by reference: a value's facts and spans are worked out once for all that use it.
     """
     constants: dict[str, _Value] = {}
+    longest = 0
     found: set[tuple[int, int]] = set()
     at = 0
     for line in text.split("\n"):
+        stop = at + len(line)
         if "=" in line or ":" in line:
             tokens = [(m.lastgroup, m.start() + at, m.end() + at, m.group()) for m in _TOKEN.finditer(line)]
+            strings = {start: end for kind, start, end, _ in tokens if kind == "string"}
+            run_end, last_cut, rests = at, at, {}
             i = 0
             while i + 2 <= len(tokens):
                 kind, _, _, name = tokens[i]
                 if kind not in ("word", "string") or i + 1 >= len(tokens) or tokens[i + 1][0] != "op" or tokens[i + 1][3] == "==":
                     i += 1
                     continue
-                name, parts, j = name.strip("\"'`"), [], i + 2
-                while j < len(tokens):
-                    kind, start, end, value = tokens[j]
-                    if kind == "string":
-                        parts.append((start + 1, end - 1))
-                    elif kind == "word" and value in constants:
-                        parts.append(constants[value])
-                    elif kind in ("word", "bare"):
-                        parts.append((start, end))
-                    else:
+                name, parts, refers, j, pos, inner = name.strip("\"'`"), [], [], i + 2, tokens[i + 1][2], False
+                while True:
+                    start = _BLANK.match(text, pos, stop).end()
+                    if start in strings:
+                        parts.append((start + 1, strings[start] - 1))
+                        pos = strings[start]
+                    elif start == stop or text[start] in ",;{}()[]" or text[start] == "#" and start > pos:
                         break
-                    j += 1
-                    if j < len(tokens) and tokens[j][0] == "plus":
-                        j += 1
                     else:
+                        if start >= run_end or start not in rests:
+                            run_end = _unquoted(text, start, stop, strings, constants)
+                            if run_end == start:
+                                break
+                            # Names within the run have its rest as their value; rests share what they have in common.
+                            while j < len(tokens) and tokens[j][1] < start:
+                                j += 1
+                            k, cuts = j, [start]
+                            while k < len(tokens) and tokens[k][1] < run_end:
+                                if tokens[k][0] == "op" and start < tokens[k][2] < run_end:
+                                    cuts.append(tokens[k][2])
+                                k += 1
+                            last_cut, rests, rest = cuts[-1], {}, None
+                            for x, y in zip(reversed(cuts), reversed([*cuts[1:], run_end])):
+                                rest = rests[x] = _Value(((x, y), rest) if rest else ((x, y),))
+                        inner = start < last_cut
+                        pos = run_end
+                        whole = text[start:pos] if pos - start <= longest else None
+                        lead = _LEAD.match(text, start, pos)
+                        if whole in constants:
+                            parts.append(constants[whole])
+                        elif not inner and "+" in (run := text[start:pos]) and any(p in constants for p in run.split("+")):
+                            for p in run.split("+"):
+                                parts.append(constants[p] if p in constants else (start, start + len(p)))
+                                start += len(p) + 1
+                        else:
+                            parts.append(rests[start])
+                            if lead and lead.group() in constants:  # a reference with something after it, or a secret that starts like one
+                                refers.append(constants[lead.group()])
+                        if inner:
+                            break
+                        if pos in strings and text[pos - 1] not in "=:>+":  # a literal with a prefix
+                            continue
+                    plus = _BLANK.match(text, pos, stop).end()
+                    if plus >= stop or text[plus] != "+":
                         break
+                    pos = plus + 1
                 if parts:
                     # A literal keeps its own place when a constant carries it on.
-                    constants[name] = _Value(tuple(parts))
+                    value = _Value(tuple(parts))
                     weight = name_score(name)
-                    if weight and weight * _score(_facts_of(text, constants[name])) >= least:
-                        _take(constants[name], found)
-                i = j if parts and not (j < len(tokens) and tokens[j][0] == "op") else i + 1
-        at += len(line) + 1
-    return sorted(found)
+                    for v in (value, _Value(tuple(refers)) if refers else None):
+                        if v and weight and weight * _score(_facts_of(text, v)) >= least:
+                            _take(v, found)
+                    constants[name] = _Value((*refers, value)) if refers else value
+                    longest = max(longest, len(name))
+                    while not inner and j < len(tokens) and tokens[j][1] < pos:
+                        j += 1
+                i = j if parts and not inner and not (j < len(tokens) and tokens[j][0] == "op") else i + 1
+        at = stop + 1
+    # Pieces of one run are one span.
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if spans and spans[-1][1] >= a:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], b))
+        else:
+            spans.append((a, b))
+    return spans
 
 
 def _take(value: _Value, found: set[tuple[int, int]]) -> None:

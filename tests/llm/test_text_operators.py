@@ -127,6 +127,22 @@ def test_secrets_of_many_parts():
     assert found('a = "Zx9#kQ72!exam"\nb = a + "ple"\nsigning_key = b\nsigning_key = a') == ["Zx9#kQ72!exam"]
 
 
+def test_secrets_unquoted():
+    found = lambda t: [t[a:b] for a, b, _ in secret_scan.spans_of(t)[1]]
+    for value in ("Xk9!vQ2mN8pL5z", "Xk9/vQ2mN8pL5z", "Xk9#vQ2mN8pL5z", "Xk9@vQ2mN8pL5z", "Xk9%vQ2mN8pL5z", "#Xk9vQ2mN8pL5z", "Xk9'vQ2mN8pL5z", "Xk9+vQ2:mN8=pL5z==", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz"):
+        assert found(f"DB_PWD={value}") == found(f"export DB_PWD={value} # note") == found(f"K={value}\nDB_PWD=K") == [value]
+    for value in ("Xk9!vQ2mN8pL5z", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz"):
+        assert found(f"private_key: {value}") == found(f"private_key = {value}, next") == [value]
+        assert secret_scan.redacted(f"x: 1\nprivate_key: {value}\ny: 2") == "x: 1\nprivate_key: [REDACTED]\ny: 2"
+    assert found('K="Zx9#k"\nL="Q72!mPv4"\nsigning_key=K+L') == ["Zx9#k", "Q72!mPv4"]
+    assert found("K='Zx9#kQ72!mPv4'\nsigning_key = K.") == ["Zx9#kQ72!mPv4"]
+    assert found("a=1\nDB_PWD=a!Xk9vQ2mN8pL5z") == ["a!Xk9vQ2mN8pL5z"]
+    assert found("x:DB_PWD=Xk9!vQ2mN8pL5z") == found("pwd=example:DB_PWD=Xk9!vQ2mN8pL5z") == ["Xk9!vQ2mN8pL5z"]
+    assert found('a=b="Zx9#kQ72!mPv4"\npwd = b') == found('signing_key=""+"Zx9#kQ72!mPv4"') == ["Zx9#kQ72!mPv4"]
+    assert found('signing_key = b"Zx9#kQ72!mPv4"') == ["b", "Zx9#kQ72!mPv4"]
+    assert found("signing_key = # Zx9#kQ72!mPv4") == []
+
+
 def test_redact_keeps_columns(docs):
     out = secret_scan.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
