@@ -1,7 +1,7 @@
 """Personal data (operator 9): base patterns and bootstrapped contextual extraction, with DataFrame functions only.
 
 Base spans (e-mail, IP, card, phone) are seeds. Identifier-shaped tokens (those with a digit or @) are instances;
-the words around an instance are its lexical patterns. A pattern's confidence is the mean score of its instances'
+the words around an instance, other instances included, are its lexical patterns. A pattern's confidence is the mean score of its instances'
 occurrences, shrunk by their number; an instance's score is the noisy-or of its patterns. Scores are iterated over the
 pattern-instance graph from the seeds outwards, and instances that end above the threshold are added spans.
 
@@ -62,29 +62,44 @@ def _valid(kind: Column, match: Column) -> Column:
 
 def _found(text: Column, kind: str, pattern: str) -> Column:
     """An array with each match of a text: kind, number, length of the segment before it, the match, words around it."""
-    lit = F.lit(pattern)
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("segment"), F.regexp_extract_all(text, lit, F.lit(0)).alias("match"))
-    after = F.slice(F.split(text, pattern, -1), 2, 2**31 - 1)
-    if kind == "token":
-        pieces = F.arrays_zip(F.split(text, pattern, -1).alias("segment"), F.regexp_extract_all(text, lit, F.lit(0)).alias("match"), after.alias("next"))
-    tail, head = (lambda p: F.right(p["segment"], F.lit(REACH))), (lambda p: F.left(p["next"], F.lit(REACH)))
-    return F.transform(
-        F.filter(pieces, lambda p: p["match"].isNotNull()),
-        lambda p, i: F.struct(
-            F.lit(kind).alias("kind"),
-            i.alias("i"),
-            F.length(p["segment"]).alias("ahead"),
-            p["match"].alias("match"),
-            (F.regexp_extract(tail(p), r"(\S{1,40})\s*$", 1) if kind == "token" else F.lit("")).alias("left"),
-            (F.regexp_extract(tail(p), r"(\S{1,40})\s+\S{1,40}\s*$", 1) if kind == "token" else F.lit("")).alias("left2"),
-            (F.regexp_extract(head(p), r"^\s*(\S{1,40})", 1) if kind == "token" else F.lit("")).alias("right"),
-        ),
-    )
+    segments, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if kind != "token":
+        pieces = F.arrays_zip(segments.alias("segment"), hits.alias("match"))
+        return F.transform(
+            F.filter(pieces, lambda p: p["match"].isNotNull()),
+            lambda p, i: F.struct(
+                F.lit(kind).alias("kind"), i.alias("i"), F.length(p["segment"]).alias("ahead"), p["match"].alias("match"),
+                F.lit("").alias("left"), F.lit("").alias("left2"), F.lit("").alias("right"),
+            ),
+        )
+
+    def around(h: Column) -> Column:
+        """The tokens of one text with the two words before each and the one after it, which may be tokens themselves."""
+        none, far = F.array(F.lit("")), 2**31 - 1
+        pieces = F.arrays_zip(
+            h["segment"].alias("segment"), h["match"].alias("match"),
+            F.concat(none, h["segment"]).alias("segment1"), F.concat(none, h["match"]).alias("match1"), F.concat(none, none, h["match"]).alias("match2"),
+            F.slice(h["segment"], 2, far).alias("next"), F.slice(h["match"], 2, far).alias("next_match"),
+        )
+        tail = lambda p: F.right(F.concat(*(F.right(p[c], F.lit(REACH)) for c in ("match2", "segment1", "match1", "segment"))), F.lit(REACH))
+        head = lambda p: F.left(F.concat(F.left(p["next"], F.lit(REACH)), F.coalesce(F.left(p["next_match"], F.lit(REACH)), F.lit(""))), F.lit(REACH))
+        return F.transform(
+            F.filter(pieces, lambda p: p["match"].isNotNull()),
+            lambda p, i: F.struct(
+                F.lit(kind).alias("kind"), i.alias("i"), F.length(p["segment"]).alias("ahead"), p["match"].alias("match"),
+                F.regexp_extract(tail(p), r"(\S{1,40})\s*$", 1).alias("left"),
+                F.regexp_extract(tail(p), r"(\S{1,40})\s+\S{1,40}\s*$", 1).alias("left2"),
+                F.regexp_extract(head(p), r"^\s*(\S{1,40})", 1).alias("right"),
+            ),
+        )
+
+    # One element holds both arrays, so that each is made once for a text.
+    return F.transform(F.array(F.struct(segments.alias("segment"), hits.alias("match"))), around)[0]
 
 
 def _word(c: Column) -> Column:
-    """A context word as a pattern holds it: lower case, cue punctuation kept, the rest trimmed."""
-    return F.lower(F.regexp_replace(c, r"^[^\p{L}]+|[^\p{L}:=#]+$", ""))
+    """A context word as a pattern holds it: lower case, numbers masked, cue punctuation kept, the rest trimmed."""
+    return F.lower(F.regexp_replace(F.regexp_replace(c, "[0-9]+", "0"), r"^[^\p{L}0]+|[^\p{L}0:=#]+$", ""))
 
 
 def matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -79,6 +79,16 @@ def test_pii_contexts(spark):
     assert got[101].spans == ""
 
 
+def contexts(spark, rows):
+    return {r.doc_id: r.spans for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_pii_contexts_with_digits(spark):
+    rows = [(i, f"Some words here. Phone{i}: +1 (555) 1{i:02d}-4567 then more") for i in range(30)] + [(100, "Phone2: 555-987-6543"), (101, "Page2: 555-987-6544 of")]
+    got = contexts(spark, rows)
+    assert got[100] == "context:8:20" and got[101] == ""
+
+
 SECRETS = {
     "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 12),
     "access": (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 18),
