@@ -1,9 +1,11 @@
 """Personal data (operator 9): base patterns and bootstrapped contextual extraction, with DataFrame functions only.
 
 Base spans (e-mail, IP, card, phone) are seeds. Identifier-shaped tokens (those with a digit or @) are instances;
-the words around an instance, other instances included, are its lexical patterns. A pattern's confidence is the mean score of its instances'
-occurrences, shrunk by their number; an instance's score is the noisy-or of its patterns. Scores are iterated over the
-pattern-instance graph from the seeds outwards, and instances that end above the threshold are added spans.
+the words around an instance, other instances included, are its lexical patterns. A pattern's confidence is the mean
+score of its instances' occurrences, shrunk by their number; an instance's score is the noisy-or of its patterns.
+Instances of patterns above the threshold are promoted: they count as seeds do in the next round, until a round
+promotes none. Promoted instances are added spans. Scores themselves take a fixed number of passes in a round: at
+their fixed point a pattern's confidence would not depend on how many of its occurrences are unknown.
 
 Positions come from splitting a text by the same pattern that extracts its matches: a match starts after all
 segments and matches before it, summed by a window over the matches of one text. All patterns are possessive or
@@ -128,7 +130,8 @@ def scan(
 ) -> DataFrame:
     """One row per document: id, n_email, n_ip, n_card, n_phone, n_context, base_sha256, spans.
 
-    ``rounds``: passes over the pattern-instance graph. ``support``: occurrences of seeds that a pattern needs.
+    ``rounds``: passes over the pattern-instance graph before instances are promoted, which is repeated until none is.
+    ``support``: occurrences of seeds and promoted instances that a pattern needs.
     ``least``: score of an instance that is added. ``least_digits``: digits that it must have.
     """
     written = Written(docs.sparkSession)
@@ -149,21 +152,38 @@ def scan(
         F.when((l1 != "") & (l2 != ""), F.concat_ws(" ", F.lit("left"), l2, l1)),
         F.when((l1 != "") & (r1 != ""), F.concat_ws(" ", F.lit("both"), l1, r1)),
     ))
-    graph = tokens.select(F.explode(patterns).alias("pattern"), F.col("match").alias("instance"), "seed")
-    graph = graph.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("times"))
-    # A pattern with too few seeds never gets confident: it leaves the graph at once.
-    firm = graph.groupBy("pattern").agg(F.coalesce(F.sum(F.when(F.col("seed"), F.col("times"))), F.lit(0)).alias("seeds"), F.sum("times").alias("n")).where(F.col("seeds") >= support)
-    graph = written(graph.join(firm, "pattern").select("pattern", "instance", "seed", "times", "n"), "graph")
-    scores = graph.select("instance", F.col("seed").cast("double").alias("score")).groupBy("instance").agg(F.max("score").alias("score"))
-    for _ in range(rounds):
-        confident = graph.join(scores, "instance").groupBy("pattern").agg((F.sum(F.col("score") * F.col("times")) / (F.first("n") + 2)).alias("confidence"))
-        new = graph.join(confident, "pattern").groupBy("instance").agg(
-            F.max("seed").alias("seed"), (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("confidence")))))).alias("score")
-        )
-        scores = new.select("instance", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("score")).alias("score"))
-    held = confident.where(F.col("confidence") >= least)
-    added = graph.where(~F.col("seed")).join(held, "pattern", "left_semi").select("instance").distinct()
-    added = added.where(F.length(_digits(F.col("instance"))) >= least_digits)
+    tokens = tokens.withColumn("patterns", patterns)
+    graph = tokens.select(F.explode("patterns").alias("pattern"), F.col("match").alias("instance"), "seed")
+    graph = graph.groupBy("pattern", "instance").agg(F.min("seed").alias("seed"), F.count("*").alias("times"))
+    # A pattern with fewer occurrences than `support` can't reach it in any round.
+    often = graph.groupBy("pattern").agg(F.sum("times").alias("n")).where(F.col("n") >= support)
+    graph = written(graph.join(often, "pattern").select("pattern", "instance", "seed", "times", "n"), "graph")
+    # With this shrinkage `support` occurrences that are all known reach `least` just so.
+    shrink, just = support * (1 / least - 1), least - 1e-9
+    known = written(tokens.where("seed").select(F.col("match").alias("instance")).distinct(), "known-0")
+    k = 0
+    while True:
+        marked = graph.join(known.withColumn("known", F.lit(1.0)), "instance", "left").fillna(0.0, ["known"])
+        firm = marked.groupBy("pattern").agg(F.sum(F.col("known") * F.col("times")).alias("sum")).where(F.col("sum") >= support)
+        near = written(marked.join(firm, "pattern"), f"near-{k}")
+        confident = near.select("pattern", (F.col("sum") / (F.col("n") + shrink)).alias("confidence")).distinct()
+        for _ in range(rounds - 1):
+            scores = near.join(confident, "pattern").groupBy("instance").agg(
+                F.max("known").alias("known"), (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-12), 1 - F.col("confidence")))))).alias("score")
+            )
+            scores = scores.select("instance", F.greatest("known", "score").alias("score"))
+            confident = near.join(scores, "instance").groupBy("pattern").agg((F.sum(F.col("score") * F.col("times")) / (F.first("n") + shrink)).alias("confidence"))
+        held = written(confident.where(F.col("confidence") >= just), f"held-{k}")
+        reached = near.where(~F.col("seed")).join(held, "pattern", "left_semi").select("instance", "known").distinct()
+        reached = written(reached.where(F.length(_digits(F.col("instance"))) >= least_digits), f"reached-{k}")
+        promoted = reached.where("known = 0").select("instance")
+        if promoted.isEmpty():
+            break
+        k += 1
+        known = written(known.unionByName(promoted), f"known-{k}", replaces=f"known-{k - 1}")
+        written.drop(f"near-{k - 1}")
+    # Confidences only grow with what is known: the last round reaches what each before it did.
+    added = reached.select("instance")
     new = tokens.where(~F.col("seed")).join(added, tokens.match == added.instance, "left_semi").select("row", "doc_id", F.lit("context").alias("kind"), "start", "end")
 
     spans = found.where(F.col("kind").isNull() | (F.col("kind") != "token")).select("row", "doc_id", "kind", "start", "end").unionByName(new)

@@ -89,6 +89,18 @@ def test_pii_contexts_with_digits(spark):
     assert got[100] == "context:8:20" and got[101] == ""
 
 
+def test_pii_contexts_by_hops(spark):
+    rows = [(i, f"few: jo{i}@mail.example.com") for i in range(5)] + [(i, f"first: jo{i}@mail.example.com") for i in range(10, 40)]
+    rows += [(100 + i, f"first: 555-987-6{i:03d}") for i in range(10)] + [(200 + i, f"second: 555-987-6{i:03d}") for i in range(10)]
+    rows += [(300, "second: 555-123-0001"), (301, "few: 555-123-0003"), (302, "third: 555-123-0004"), (303, "third: 555-987-6001"), (304, "third: 555-987-6002")]
+    rows += [(310 + i, f"last: 555-123-000{1 if i < 8 else 5}") for i in range(9)]
+    got = contexts(spark, rows)
+    assert got[100] == "context:7:19" and got[300] == got[200] == "context:8:20"
+    assert got[318] == "context:6:18", "a pattern without any seed, by instances that a pattern without any seed promoted"
+    assert got[301] == "context:5:17", "few seeds are enough"
+    assert got[302] == "", "two occurrences are too few"
+
+
 SECRETS = {
     "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 12),
     "access": (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 18),
