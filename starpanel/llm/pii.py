@@ -132,7 +132,8 @@ def scan(
 
     ``rounds``: passes over the pattern-instance graph before instances are promoted, which is repeated until none is.
     ``support``: occurrences of seeds and promoted instances that a pattern needs.
-    ``least``: score of an instance that is added. ``least_digits``: digits that it must have.
+    ``least``: confidence of a pattern whose instances are added. ``least_digits``: digits of an instance that is then
+    added wherever it occurs, if it has no @; one with fewer is added only in patterns that are surer.
     """
     written = Written(docs.sparkSession)
     found = placed(matches(docs, id_col, text_col).repartition("row"))
@@ -159,6 +160,7 @@ def scan(
     often = graph.groupBy("pattern").agg(F.sum("times").alias("n")).where(F.col("n") >= support)
     graph = written(graph.join(often, "pattern").select("pattern", "instance", "seed", "times", "n"), "graph")
     # With this shrinkage `support` occurrences that are all known reach `least` just so.
+    whole = lambda c: c.contains("@") | (F.length(_digits(c)) >= least_digits)
     shrink, just = support * (1 / least - 1), least - 1e-9
     known = written(tokens.where("seed").select(F.col("match").alias("instance")).distinct(), "known-0")
     k = 0
@@ -175,7 +177,7 @@ def scan(
             confident = near.join(scores, "instance").groupBy("pattern").agg((F.sum(F.col("score") * F.col("times")) / (F.first("n") + shrink)).alias("confidence"))
         held = written(confident.where(F.col("confidence") >= just), f"held-{k}")
         reached = near.where(~F.col("seed")).join(held, "pattern", "left_semi").select("instance", "known").distinct()
-        reached = written(reached.where(F.length(_digits(F.col("instance"))) >= least_digits), f"reached-{k}")
+        reached = written(reached.where(whole(F.col("instance"))), f"reached-{k}")
         promoted = reached.where("known = 0").select("instance")
         if promoted.isEmpty():
             break
@@ -184,7 +186,13 @@ def scan(
         written.drop(f"near-{k - 1}")
     # Confidences only grow with what is known: the last round reaches what each before it did.
     added = reached.select("instance")
-    new = tokens.where(~F.col("seed")).join(added, tokens.match == added.instance, "left_semi").select("row", "doc_id", F.lit("context").alias("kind"), "start", "end")
+    place = ["row", "doc_id", F.lit("context").alias("kind"), "start", "end"]
+    unseen = tokens.where(~F.col("seed"))
+    new = unseen.join(added, tokens.match == added.instance, "left_semi").select(*place)
+    # A short number says little by itself: it is added where it stands in a pattern, the surer the shorter it is, and promotes nothing.
+    needs = 1 - (1 - least) * F.length(_digits(F.col("match"))) / least_digits - 1e-9
+    short = unseen.where(~whole(F.col("match"))).select(*place, needs.alias("needs"), F.explode("patterns").alias("pattern")).join(held, "pattern")
+    new = new.unionByName(short.where(F.col("confidence") >= F.col("needs")).drop("pattern", "confidence", "needs").distinct())
 
     spans = found.where(F.col("kind").isNull() | (F.col("kind") != "token")).select("row", "doc_id", "kind", "start", "end").unionByName(new)
     order = F.create_map(*(x for i, k in enumerate([*KINDS, "context"]) for x in (F.lit(k), F.lit(i))))[F.col("kind")]

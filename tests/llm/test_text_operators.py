@@ -101,6 +101,14 @@ def test_pii_contexts_by_hops(spark):
     assert got[302] == "", "two occurrences are too few"
 
 
+def test_pii_contexts_of_short_tokens(spark):
+    rows = [(i, f"email: jo{i}@mail.example.com") for i in range(30)] + [(i, f"few: jo{i}@mail.example.com") for i in range(30, 36)]
+    rows += [(100, "email: jane.doe@localhost"), (101, "email: @handle"), (102, "email: 4821"), (103, "room 4821 is"), (104, "see jane.doe@localhost here"), (105, "few: 4")]
+    got = contexts(spark, rows)
+    assert [got[i] for i in (100, 101, 102, 104)] == ["context:7:25", "context:7:14", "context:7:11", "context:4:22"]
+    assert got[103] == "" and got[105] == ""
+
+
 SECRETS = {
     "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 12),
     "access": (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 18),
