@@ -60,9 +60,12 @@ class Warehouse:
         return self._open(name, where)
 
     def _open(self, name: str, where: str) -> DataFrame:
-        """A registered table is read by its schema: a version without rows may have no files."""
-        reader = self.spark.read.schema(TABLES[name].schema) if name in TABLES else self.spark.read
-        return reader.parquet(os.path.join(self.root, where))
+        """A registered table is read by its schema: a version without rows may have no files, and one that is
+        partitioned has the column it is partitioned by besides."""
+        path = os.path.join(self.root, where)
+        if name not in TABLES:
+            return self.spark.read.parquet(path)
+        return self.spark.read.schema(TABLES[name].schema).parquet(path).select(*TABLES[name].schema.names)
 
     def write(self, df: DataFrame, name: str) -> str:
         """Writes a version of a table, clustered and partitioned as registered; it isn't visible yet."""
