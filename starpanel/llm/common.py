@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,19 +19,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches of few rows, for columns that hold whole texts."""
+    """Arrow batches of few rows and few bytes, for columns that hold whole texts.
+
+    Spark reads these settings when a plan runs, so they stay; every operator that uses Arrow sets its own.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (``spark.checkpoint.dir``); a local one only where none is set."""
+    """The folder that the cluster shares (``spark.checkpoint.dir``); a session on one machine that has none gets a local one."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
         where = f"file://{tempfile.mkdtemp(prefix='starpanel-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+_KEPT: dict = {}
+
+
+def kept(make: Callable, *args):
+    """``make(*args)``, kept by this Python worker for its next tasks; it holds one such object at a time."""
+    if (make, args) not in _KEPT:
+        _KEPT.clear()
+        _KEPT[make, args] = make(*args)
+    return _KEPT[make, args]
+
+
+class Recent:
+    """A table of results by key, of what was met last: two generations of at most ``size`` keys (or a batch's)."""
+
+    def __init__(self, size: int):
+        self.size, self.now, self.before = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that ``now`` has to be given results for; it has those of all others."""
+        new = keys.difference(self.now)
+        if len(self.now) + len(new) > self.size:
+            self.before, self.now, new = self.now, {}, keys
+        out, old = [], self.before
+        for k in new:
+            if k in old:
+                self.now[k] = old[k]
+            else:
+                out.append(k)
+        return out
+
+
 class Written:
     """Tables written to the shared folder: they cut lineage and survive the loss of any executor."""
 

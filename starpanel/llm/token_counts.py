@@ -19,71 +19,73 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from starpanel.llm.common import small_batches, table
-from starpanel.llm.merge_replay import _CHUNK, Codec, gathered, read_ranks
+from starpanel.llm.common import kept, small_batches, table
+from starpanel.llm.merge_replay import _CHUNK, Codec, _codec, gathered
 
 RULES = ("start", "end", "longest")
 
 
+class _Store:
+    """Chunks with their length in characters and the character spans of their tokens, in flat arrays."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.length = self.count = self.first = self.starts = self.ends = np.zeros(0, np.int64)
+
+    def add(self, chunks: list[str], count: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        if chunks:
+            n = len(self.place)
+            self.place.update(zip(chunks, range(n, n + len(chunks))))
+            self.first = np.concatenate((self.first, len(self.starts) + np.cumsum(count) - count))
+            self.length = np.concatenate((self.length, np.fromiter(map(len, chunks), np.int64, len(chunks))))
+            self.count = np.concatenate((self.count, count))
+            self.starts, self.ends = np.concatenate((self.starts, starts)), np.concatenate((self.ends, ends))
+
+    def of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each chunk its length and number of tokens, and the spans of all these tokens within their chunks."""
+        at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        count = self.count[at]
+        token = np.arange(count.sum()) + np.repeat(self.first[at] - (np.cumsum(count) - count), count)
+        return self.length[at], count, self.starts[token], self.ends[token]
+
+
 class Spans(Codec):
-    """For each known chunk: its length, and the character spans of its tokens within it, in flat arrays."""
+    """Character spans of tokens; what was met last is kept in two generations of chunks."""
 
     def __init__(self, *a, **b):
         super().__init__(*a, **b)
-        self.reset()
-
-    def reset(self) -> None:
-        self.place: dict[str, int] = {}
-        self.length, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.first, self.starts, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.size, self.now, self.before = self.table.size, _Store(), _Store()
+        self.sizes = np.zeros(max(self.bytes_of) + 1, np.int64)
+        for i, token in self.bytes_of.items():
+            self.sizes[i] = len(token)
+
+    def made(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, count = self.replay(chunks)
+        stop = np.cumsum(self.sizes[ids])
+        # From bytes to the characters that hold them, in all chunks as one text.
+        lead = np.frombuffer("".join(chunks).encode(), np.uint8) & 0xC0 != 0x80
+        of = np.cumsum(lead) - 1
+        length = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        base = np.repeat(np.cumsum(length) - length, count)
+        return count, of[stop - self.sizes[ids]] - base, of[stop - 1] + 1 - base
 
     def enter(self, chunks: set[str]) -> None:
-        new = chunks.difference(self.place)
-        if len(new) + len(self.place) > self.size:
-            self.reset()
-            new = chunks
-        if not new:
-            return
-        self.known = {}
-        self.learn(new)
-        n = len(self.place)
-        self.place.update((c, n + k) for k, c in enumerate(self.known))
-        count = np.fromiter(map(len, self.known.values()), np.int64, len(self.known))
-        sizes = self.sizes
-        spans = [sizes[i] for ids in self.known.values() for i in ids]
-        stop = np.cumsum(np.array(spans, np.int64))
-        begin = stop - spans
-        head = np.concatenate(([0], np.cumsum(count)))[:-1]
-        base = np.repeat(begin[head], count)
-        starts, ends = begin - base, stop - base
-        for k, c in enumerate(self.known):
-            if not c.isascii():  # from bytes to the characters that hold them
-                of = np.repeat(np.arange(len(c)), [len(x.encode()) for x in c])
-                s = slice(head[k], head[k] + count[k])
-                starts[s], ends[s] = of[starts[s]], of[ends[s] - 1] + 1
-        self.first = np.concatenate((self.first, head + len(self.starts)))
-        self.length = np.concatenate((self.length, np.fromiter(map(len, self.known), np.int64, len(self.known))))
-        self.count = np.concatenate((self.count, count))
-        self.starts, self.ends = np.concatenate((self.starts, starts)), np.concatenate((self.ends, ends))
-        self.known = {}
-
-    @property
-    def sizes(self) -> list[int]:
-        if not hasattr(self, "_sizes"):
-            self._sizes = [len(self.bytes_of.get(i, b"")) for i in range(max(self.bytes_of) + 1)]
-        return self._sizes
+        new = chunks.difference(self.now.place)
+        if len(new) + len(self.now.place) > self.size:
+            self.before, self.now, new = self.now, _Store(), chunks
+        old = self.before.place
+        if again := [c for c in new if c in old]:
+            self.now.add(again, *self.before.of(again)[1:])
+        if new := [c for c in new if c not in old]:
+            self.now.add(new, *self.made(new))
 
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of all tokens of the texts, as if these stood one after the other."""
         chunks = [c for t in texts for c in _CHUNK.findall(t)]
         self.enter(set(chunks))
-        at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        count = self.count[at]
-        stop = np.cumsum(self.length[at])
-        base = np.repeat(stop - self.length[at], count)
-        upto = np.cumsum(count)
-        token = np.arange(upto[-1] if len(upto) else 0) + np.repeat(self.first[at] - (upto - count), count)
-        return self.starts[token] + base, self.ends[token] + base
+        length, count, starts, ends = self.now.of(chunks)
+        base = np.repeat(np.cumsum(length) - length, count)
+        return starts + base, ends + base
 
 
 def attribute(starts: np.ndarray, ends: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +118,7 @@ def count(
     names = ["doc_id", "section", "start", "end", "n_tokens", "n_crossing"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, cut = Spans(read_ranks(ranks_path), pattern), re.compile(boundary)
+        codec, cut = kept(_codec, Spans, ranks_path, pattern), re.compile(boundary)
         for held, texts in gathered(batches):
             found = [section_starts(t, cut) for t in texts]
             each = np.fromiter(map(len, found), np.int64, len(found))
