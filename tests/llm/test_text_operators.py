@@ -260,7 +260,6 @@ def test_packing(docs, nothing):
 
     path, capacity = P.path("word_bpe_49k.json"), 64
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rows = packing.pack(docs.where("doc_id IS NOT NULL AND doc_id NOT IN (5)"), path, capacity=capacity).collect()
     docs_, sequences = {}, {}
     for r in rows:
