@@ -49,7 +49,15 @@ _TOKEN = re.compile(
 _RUN = re.compile(r"""[^\s"'`,;{}()\[\]]*""")
 _LEAD = re.compile(r"[A-Za-z_$][\w$]*(?:[.\-][\w$]+)*")
 _JOINT = re.compile(r"(?:[=:]+>?|\+)?$")
-_BLANK = re.compile(r"\s*")
+_BLANK = re.compile(r"(?:\s|\\\n)*")
+_BETWEEN = re.compile(r"[^0-9a-z]+")
+# A line whose value follows on the next one; one that opens a value in parentheses; a line of nothing but its literals.
+_GOES_ON = re.compile(r"(?:[=:+]|=>|\\)[ \t\r]*$")
+_OPENS = re.compile(r"(?:[=:]|=>)[ \t]*\([ \t\r]*$")
+_LITERALS = re.compile(r"""\s*(?:[A-Za-z]{0,2}(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')\s*\+?\s*)*(\)?)""")
+# Names whose value is a block of lines: a triple-quoted literal, or indented lines under a block mark.
+_TRIPLE = re.compile(r"""([A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)["']?\]?[ \t]*(?::=|=>|[=:])[ \t]*\(?[ \t]*[A-Za-z]{0,2}(\"{3}|'{3})((?:(?!\2)[^\\]|\\.)*+)\2""", re.S)
+_BLOCK = re.compile(r"""^([ \t]*)(?:- )?["']?([A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)["']?[ \t]*:[ \t]*[|>][+\-0-9]*[ \t\r]*\n((?:\1[ \t]+\S[^\n]*(?:\n|\Z)|[ \t\r]*\n)+)""", re.M)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -61,7 +69,11 @@ def name_score(name: str) -> float:
     return min(1.0, max(weights, default=0.0) + 0.3 * max(0, len(weights) - 1))
 
 
-_BESIDE = max(map(len, PLACEHOLDERS)) - 1
+_LONGEST = max(map(len, PLACEHOLDERS))
+
+
+def _placeholder(word: str) -> bool:
+    return word in PLACEHOLDERS or len(word) >= 4 and not word.strip("x")
 
 
 class _Value:
@@ -74,24 +86,26 @@ class _Value:
 
 
 def _facts(value: str) -> tuple:
-    """What a score needs: length, counts of characters, the first, if there is a placeholder, both ends in lower case."""
-    low = value.lower()
-    return len(value), Counter(value), value[:1], any(p in low for p in PLACEHOLDERS), low[:_BESIDE], low[-_BESIDE:]
+    """What a score needs: length, counts of characters, the first, if a word inside is a placeholder, the words at both
+    ends in lower case (cut where they are too long for one), whether there is a place between words."""
+    words = _BETWEEN.split(value.lower())
+    return len(value), Counter(value), value[:1], any(map(_placeholder, words[1:-1])), words[0][: _LONGEST + 1], words[-1][: _LONGEST + 1], len(words) > 1
 
 
 def _joined_facts(every: list[tuple]) -> tuple:
     """The facts of a concatenation, from those of its parts."""
-    counts, first, placeholder, head, tail = Counter(), "", False, "", ""
-    for _, c, f, p, h, t in every:
+    counts, first, placeholder, head, tail, several = Counter(), "", False, "", "", False
+    for _, c, f, p, h, t, more in every:
         counts.update(c)
-        first, placeholder = first or f, placeholder or p or any(x in tail + h for x in PLACEHOLDERS)
-        head = head if len(head) == _BESIDE else (head + h)[:_BESIDE]
-        tail = (tail + t)[-_BESIDE:]
+        first, meets = first or f, (tail + h)[: _LONGEST + 1]
+        placeholder = placeholder or p or several and more and _placeholder(meets)
+        head = head if several else meets
+        tail, several = t if more else meets, several or more
     n = sum(counts.values())
     if n > 1 << 256:  # a constant joined to itself again and again: shares of characters are all that counts
         counts = Counter({c: max(1, k >> 128) for c, k in counts.items()})
         n = sum(counts.values())
-    return n, counts, first, placeholder, head, tail
+    return n, counts, first, placeholder, head, tail, several
 
 
 def _facts_of(text: str, value: _Value) -> tuple:
@@ -111,8 +125,8 @@ def _facts_of(text: str, value: _Value) -> tuple:
 
 
 def _score(facts: tuple) -> float:
-    n, counts, first, placeholder, *_ = facts
-    if n < 8 or " " in counts or first in "$<{%" or placeholder:
+    n, counts, first, placeholder, head, tail, _ = facts
+    if n < 8 or " " in counts or first in "$<{%" or placeholder or _placeholder(head) or _placeholder(tail):
         return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     chars = "".join(counts)
@@ -125,6 +139,45 @@ def value_score(value: str) -> float:
     return _score(_facts(value))
 
 
+def _logical_lines(text: str) -> Iterator[tuple[int, int]]:
+    """Where lines begin and end; lines that a value goes on over are one."""
+    at, n = 0, len(text)
+    while at <= n:
+        stop = text.find("\n", at)
+        stop = n if stop < 0 else stop
+        begin = at
+        while stop < n:
+            if _OPENS.search(text, begin, stop):
+                while stop < n:  # lines of literals only, up to the one that closes
+                    end = text.find("\n", stop + 1)
+                    end = n if end < 0 else end
+                    got = _LITERALS.match(text, stop + 1, end)
+                    if not got.group(1) and got.end() < end:
+                        break
+                    stop = end
+                    if got.group(1):
+                        break
+                break
+            if not _GOES_ON.search(text, max(begin, stop - 200), stop):
+                break
+            begin = stop + 1
+            stop = text.find("\n", begin)
+            stop = n if stop < 0 else stop
+        yield at, stop
+        at = stop + 1
+
+
+def _blocks(text: str) -> list[tuple[int, str, tuple]]:
+    """Names whose value is a block of lines: where they stand, the name and the lines that hold no blank."""
+    found = [(m.start(1), m.group(1), m.span(3)) for m in _TRIPLE.finditer(text)] if '"""' in text or "'''" in text else []
+    found += [(m.start(2), m.group(2), m.span(3)) for m in _BLOCK.finditer(text)] if "|" in text or ">" in text else []
+    out = []
+    for at, name, (a, b) in sorted(found):
+        lines = [(a + m.start(), a + m.end()) for m in re.finditer(r"(?<!\S)\S+(?=[ \t\r]*(?:\n|\Z))", text[a:b])]
+        out.append((at, name, tuple(x for x in lines if not text[text.rfind("\n", a, x[0]) + 1 if "\n" in text[a : x[0]] else a : x[0]].strip())))
+    return out
+
+
 def _unquoted(text: str, start: int, stop: int, strings: dict[int, int], constants: dict[str, _Value]) -> int:
     """The end of an unquoted value: white space, a delimiter, or what joins it to a literal that follows."""
     end = start
@@ -147,14 +200,29 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, by assignment, reference or concatenation.
 
     An unquoted value is one run of characters up to white space, a comma, a semicolon, a bracket or a quoted literal.
+    A value may follow on the next line, go on over lines in parentheses or after ``+``, or be a block: a triple-quoted
+    literal or the indented lines under ``|`` or ``>``. A subscript is a name; a name may get its value after its use.
     Constants keep all their parts, by reference: a value's facts and spans are worked out once for all that use it.
     """
     constants: dict[str, _Value] = {}
     longest = 0
     found: set[tuple[int, int]] = set()
-    at = 0
-    for line in text.split("\n"):
-        stop = at + len(line)
+    blocks = _blocks(text)[::-1]
+    alias: dict[str, str] = {}  # names whose value is a name that isn't known yet
+    late: list[tuple[str, float]] = []  # such names, by the weight of what they reach
+
+    def reach(value: _Value, weight: float) -> None:
+        if weight and weight * _score(_facts_of(text, value)) >= least:
+            _take(value, found)
+
+    for at, stop in _logical_lines(text):
+        while blocks and blocks[-1][0] < stop:
+            _, name, parts = blocks.pop()
+            if parts:
+                constants[name] = _Value(parts)
+                longest = max(longest, len(name))
+                reach(constants[name], name_score(name))
+        line = text[at:stop]
         if "=" in line or ":" in line:
             tokens = [(m.lastgroup, m.start() + at, m.end() + at, m.group()) for m in _TOKEN.finditer(line)]
             strings = {start: end for kind, start, end, _ in tokens if kind == "string"}
@@ -162,10 +230,16 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
             i = 0
             while i + 2 <= len(tokens):
                 kind, _, _, name = tokens[i]
+                if kind == "end" and name == "]" and i > 1 and tokens[i - 1][0] == "string" and tokens[i - 2][3] == "[":
+                    kind, name = "string", tokens[i - 1][3]  # a subscript is a name
                 if kind not in ("word", "string") or i + 1 >= len(tokens) or tokens[i + 1][0] != "op" or tokens[i + 1][3] == "==":
                     i += 1
                     continue
                 name, parts, refers, j, pos, inner = name.strip("\"'`"), [], [], i + 2, tokens[i + 1][2], False
+                alias.pop(name, None)
+                start = _BLANK.match(text, pos, stop).end()
+                if within := start < stop and text[start] == "(" and (start + 1 == stop or text[start + 1] in " \t\r\n\"'"):
+                    pos = start + 1
                 while True:
                     start = _BLANK.match(text, pos, stop).end()
                     if start in strings:
@@ -201,6 +275,9 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
                                 start += len(p) + 1
                         else:
                             parts.append(rests[start])
+                            if lead and lead.end() == pos and not inner and len(parts) == 1:
+                                alias[name] = lead.group()
+                                late.append((lead.group(), name_score(name)))
                             if lead and lead.group() in constants:  # a reference with something after it, or a secret that starts like one
                                 refers.append(constants[lead.group()])
                         if inner:
@@ -208,6 +285,9 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
                         if pos in strings and text[pos - 1] not in "=:>+":  # a literal with a prefix
                             continue
                     plus = _BLANK.match(text, pos, stop).end()
+                    if within and (plus in strings or plus + 1 < stop and plus + 1 in strings):
+                        pos = plus  # literals in parentheses need no sign between them
+                        continue
                     if plus >= stop or text[plus] != "+":
                         break
                     pos = plus + 1
@@ -216,14 +296,25 @@ def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
                     value = _Value(tuple(parts))
                     weight = name_score(name)
                     for v in (value, _Value(tuple(refers)) if refers else None):
-                        if v and weight and weight * _score(_facts_of(text, v)) >= least:
-                            _take(v, found)
+                        if v:
+                            reach(v, weight)
                     constants[name] = _Value((*refers, value)) if refers else value
                     longest = max(longest, len(name))
                     while not inner and j < len(tokens) and tokens[j][1] < pos:
                         j += 1
                 i = j if parts and not inner and not (j < len(tokens) and tokens[j][0] == "op") else i + 1
-        at = stop + 1
+    # Names that were given their value after they were used, through other such names too.
+    ends: dict[str, str] = {}
+    for name, weight in late:
+        if weight:
+            path = []
+            while name in alias and name not in ends and alias[name] != name and len(path) <= len(alias):
+                path.append(name)
+                name = alias[name]
+            name = ends.get(name, name)
+            ends.update(dict.fromkeys(path, name))
+            if name in constants and name not in alias:
+                reach(constants[name], weight)
     # Pieces of one run are one span.
     spans: list[tuple[int, int]] = []
     for a, b in sorted(found):
@@ -262,8 +353,11 @@ def spans_of(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[i
         return [], []
     base, added = base_spans(text), []
     if "=" in text or ":" in text:
+        i, reach = 0, -1
         for a, b in literal_spans(text):
-            if not any(s <= a and b <= e for s, e, _ in base):
+            while i < len(base) and base[i][0] <= a:
+                i, reach = i + 1, max(reach, base[i][1])
+            if b > reach:  # not inside a base span
                 added.append((a, b, "literal"))
     return base, added
 

@@ -173,6 +173,28 @@ def test_secrets_unquoted():
     assert found("signing_key = # Zx9#kQ72!mPv4") == []
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ('pwd = """Zx9#kQ72!mPv4"""', 1), ("private_key = '''\nZx9#kQ72!mPv4\nQw8#kQ72!mPv5\n'''", 2), ("cfg['db_pwd'] = 'Zx9#kQ72!mPv4'", 1),
+    ('os.environ["SIGNING_SECRET"] = "Zx9#kQ72!mPv4"', 1), ("pwd:\n  Zx9#kQ72!mPv4\nnext: 1", 1), ("private_key: |\n  Zx9#kQ72!mPv4\n  Qw8#kQ72!mPv5\nother: x", 2),
+    ('signing_key = (\n  "Zx9#k"\n  "Q72!mPv4"\n)\nname = "Zx9#kQ72!mPv5"', 2), ('signing_key = "Zx9#k" + \\\n "Q72!mPv4"', 2), ('signing_key = "Zx9#k" +\n  "Q72!mPv4"', 2),
+    ('signing_key = \\\n  "Zx9#kQ72!mPv4"', 1), ('{"signing_key":\n   "Zx9#kQ72!mPv4"}', 1), ('signing_key = ("Zx9#kQ72!mPv4")', 1), ('signing_key = f("Zx9#kQ72!mPv4")', 0),
+    ('signing_key = K\nK = "Zx9#kQ72!mPv4"', 1), ('signing_key = a\na = b\nb = "Zx9#kQ72!mPv4"', 1), ("signing_key = a\na = b\nb = a", 0),
+    ('signing_key = "kQ72yourZx9mPv4T"', 1), ('signing_key = "kQ72-your-Zx9mPv4T"', 0), ('signing_key = "your" + "-kQ72Zx9mPv4T"', 0), ('signing_key = "xxxxxxxxxxxx"', 0),
+])
+def test_secrets_over_lines_and_names(text, want):
+    found = [text[a:b] for a, b, _ in secret_scan.spans_of(text)[1]]
+    assert len(found) == want and all(len(x) > 4 and not set(x) & set(" \"'\n") for x in found)
+
+
+@pytest.mark.parametrize("line", ["a:\n", "a = (\n", 'a = """', "k: |\n  x\n", "a = b\nb = a\n", "x +\n", '"""', "a = \\\n", '["a"]=', "a.b-", "token = 0123456789abcdef\n", '"a": '])
+def test_secrets_take_linear_time(line):
+    import time
+
+    began = time.time()
+    secret_scan.spans_of(line * 30_000 + "=")
+    assert time.time() - began < 10
+
+
 def test_redact_keeps_columns(docs):
     out = secret_scan.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
