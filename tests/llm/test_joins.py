@@ -163,8 +163,54 @@ def test_quality_odd_rows(spark):
     assert quality.score(odd.where("false"), model).count() == 0
 
 
-def test_gradient():
+def bags():
     r = np.random.default_rng(1)
-    bags = [r.standard_normal((k, quality.WIDTH)).astype(np.float32) + (y - 0.5) for k, y in zip([1, 3, 2, 5] * 10, [0, 1, 1, 0] * 10)]
-    y = np.array([0, 1, 1, 0] * 10, float)
-    assert (((quality.AttentionMIL().fit(bags, y).score(bags)) > 0.5) == (y == 1)).all()
+    return [r.standard_normal((k, quality.WIDTH)).astype(np.float32) + (y - 0.5) for k, y in zip([1, 3, 2, 5] * 10, [0, 1, 1, 0] * 10)], np.array([0, 1, 1, 0] * 10, float)
+
+
+def loop_score(m, bag):
+    """One bag's score, passage by passage."""
+    h = [np.tanh(np.clip((x - m.mean) / m.std, -5, 5) @ m.p["E"] + m.p["e"]) for x in bag.astype(float)]
+    logits = [float(sum(w * np.tanh(v) / (1 + np.exp(-u)) for w, v, u in zip(m.p["w"], x @ m.p["V"], x @ m.p["U"]))) for x in h]
+    weights = [np.exp(z) / sum(np.exp(y) for y in logits) for z in logits]
+    return 1 / (1 + np.exp(-(sum(a * x for a, x in zip(weights, h)) @ m.p["c"] + m.p["d"][0])))
+
+
+def test_fit_and_loop_version():
+    x, y = bags()
+    m = quality.AttentionMIL().fit(x, y)
+    got = m.score(x)
+    assert ((got > 0.5) == (y == 1)).all()
+    assert np.allclose(got, [loop_score(m, b) for b in x], atol=1e-9)
+
+
+def test_gradient():
+    bag, y = bags()
+    m = quality.AttentionMIL()
+    x, starts = np.concatenate(bag).astype(float), np.concatenate(([0], np.cumsum([len(b) for b in bag])))[:-1]
+    loss = lambda: -np.mean(np.where(y == 1, np.log(s := m._forward(x, starts)["y"]), np.log(1 - s)))
+    r = np.random.default_rng(3)
+    for name, grad in m.gradient(x, starts, y).items():
+        for _ in range(4):
+            at = tuple(r.integers(0, n) for n in m.p[name].shape)
+            held = m.p[name][at]
+            m.p[name][at] = held + 1e-5
+            up = loss()
+            m.p[name][at] = held - 1e-5
+            down = loss()
+            m.p[name][at] = held
+            assert abs((up - down) / 2e-5 - grad[at]) < 1e-6, name
+
+
+def test_passages_are_cut_between_words():
+    text = "wörter " * 2000
+    rows = quality.encode(text)
+    assert len(rows) == -(-len(text.encode()) // quality.PASSAGE) and (abs(rows.sum(axis=1) - rows.sum(axis=1).mean()) < 1).all()
+    assert len(quality.encode("x" * 5500)) == 6 and len(quality.encode("")) == 1
+
+
+def test_quality_long_labelled_texts(spark):
+    long = spark.createDataFrame([(i, ("good text here " if i % 2 else "!!! ??? ") * 20_000) for i in range(8)] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    model = quality.fit(long, labels, passages=4)
+    assert all((r.score >= 0.5) == r.doc_id % 2 for r in quality.score(long, model).collect())
