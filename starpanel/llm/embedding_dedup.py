@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starpanel.llm.common import Written, components, table
+from starpanel.llm.common import Written, components, small_batches, table
 
 #: Vectors that a sub-cell should hold; pivots that are chosen at most (both are broadcast: 256 x dimension doubles).
 CELL, PIVOTS = 4096, 256
@@ -108,6 +108,7 @@ def _vectors(column: pd.Series, dimension: int) -> np.ndarray:
 def dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95, cell: int = CELL) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept, class_id (the least id with an equal vector)."""
     spark = vectors.sparkSession
+    small_batches(spark, 4096)
     written = Written(spark)
     v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -1,6 +1,8 @@
 """Near-dedup, search and classifier against brute force."""
 
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -64,20 +66,61 @@ def test_embedding_dedup(spark, cell):
     assert embedding_dedup.dedup(df.where("false")).count() == 0
 
 
-def test_topk(spark):
-    rows = vectors(300) + [(2000 + i, [0.5] * 8, "c", 1) for i in range(40)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string, score int").repartition(4)
-    got = topk_search.search(df, F.col("vec_id") % 20 == 0, k=20)
-    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got.collect()}
-    good = {i: np.floor(64 * np.array(v, np.float32).astype(float)) for i, v, *_ in rows if i is not None and v and None not in v and np.isfinite(v).all()}
+def brute_topk(rows, ask, k):
+    good = [(i, [math.floor(64 * Fraction(float(np.float64(x)))) for x in v]) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    queries = {}
+    for (i, v), e in zip([(i, v) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()], [e for _, e in good]):
+        if ask(i):
+            queries[i] = min(queries.get(i, (len(v), v, e)), (len(v), v, e))
     want = {}
-    for q in [i for i in good if i % 20 == 0]:
-        best = sorted((-int(good[q] @ x), i) for i, x in good.items() if i != q and len(x) == len(good[q]))[:20]
-        want |= {(q, k + 1): (i, -s) for k, (s, i) in enumerate(best)}
-    assert got == want
+    for q, (_, _, e) in queries.items():
+        best = sorted((-sum(map(int.__mul__, e, x)), i) for i, x in good if i != q and len(x) == len(e))[:k]
+        want[q] = [(i, -s if abs(s) < 10**38 else None) for s, i in best]
+    return want
+
+
+def found_topk(df):
+    got = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        assert r["rank"] == len(got.setdefault(r.query_id, [])) + 1
+        got[r.query_id].append((r.vec_id, r.score if r.score is None else int(r.score)))
+    return got
+
+
+@pytest.mark.parametrize("block", [8192, 50])
+def test_topk(spark, monkeypatch, block):
+    monkeypatch.setattr(topk_search, "CANDIDATE_BLOCK", block)
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", max(7, block // 5))
+    rows = [(i, v) for i, v, *_ in vectors(300)] + [(2000 + i, [0.5] * 8) for i in range(40)]
+    rows += [(20, [0.25] * 8), (20, rows[20][1]), (7, rows[7][1]), (40, [1.0, 2.0]), (3000, [3.0, -1.0])]  # ids that repeat, queries and others
+    df = spark.createDataFrame([(i, v, "c", 1) for i, v in rows], "vec_id long, embedding array<double>, rank string, score int").repartition(4)
+    assert found_topk(topk_search.search(df, F.col("vec_id") % 20 == 0, k=20)) == brute_topk(rows, lambda i: i % 20 == 0, 20)
     assert topk_search.search(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_of_large_components(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.standard_normal((120, 6)))]
+    for i, size in ((3, 1e12), (10, 1e12), (20, 1e10), (21, -1e10), (40, 1e25), (41, 1e300), (60, 3e7), (61, 1e7), (62, 2.0**60)):
+        rows[i] = (i, [float(x * size) for x in r.standard_normal(6)])
+    rows += [(200 + i, [1e12, -1e12, 1.0, 0.0, float(i), 0.0]) for i in range(30)]  # products that cancel
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert found_topk(topk_search.search(df, F.col("vec_id") % 10 == 0, k=5)) == brute_topk(rows, lambda i: i % 10 == 0, 5)
+
+
+def test_topk_cells_leave_out_what_cannot_win(spark):
+    r = np.random.default_rng(6)
+    center = r.standard_normal((8, 16)) * 5
+    x = (center[np.arange(400) % 8] + 0.05 * r.standard_normal((400, 16)))
+    cells = topk_search.Cells(np.arange(400), np.floor(64 * x), topk_search.LEVELS, 3)
+    s = topk_search.statistics(np.floor(64 * x), 4)
+    own = cells.of(s)
+    for c in np.unique(own):
+        cells.low[c], cells.high[c] = s[own == c].min(axis=0), s[own == c].max(axis=0)
+    _, may = cells.meets(np.arange(400), np.floor(64 * x), 20)
+    assert may.mean() < 0.7
+
+
 def test_topk_bounds_hold():
     r = np.random.default_rng(0)
     x, y = r.integers(-60, 60, (50, 64)).astype(float), r.integers(-60, 60, (70, 64)).astype(float)
