@@ -109,6 +109,16 @@ def test_pii_contexts_of_short_tokens(spark):
     assert got[103] == "" and got[105] == ""
 
 
+def test_pii_contexts_of_any_length(spark):
+    cue, gap = "c" * 500 + ":", " " * 400
+    rows = [(i, f"{cue}{gap}jo{i}@mail.example.com") for i in range(30)] + [(100, f"{cue}{gap}555-987-6543"), (101, f"x{cue}{gap}555-987-6544")]
+    got = contexts(spark, rows)
+    assert got[100] == "context:901:913" and got[101] == ""
+    long = "word " * 200_000 + "call 555-987-6543 " + "9" * 100_000 + " " + "a" * 200_000 + "@"
+    got = contexts(spark, [(i, f"call jo{i}@mail.example.com now") for i in range(30)] + [(200, long)] * 2)
+    assert got[200] == ""
+
+
 SECRETS = {
     "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 12),
     "access": (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 18),
