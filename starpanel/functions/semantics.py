@@ -80,14 +80,20 @@ def bounded_pair(lat: Column, lon: Column, box: tuple[float, float, float, float
 
 
 def mask_block(c: Column, missing: str = "NOT APPLICABLE OR UNKNOWN") -> Column:
-    """A street address at block level: the last digits of its first token are masked."""
-    a = F.nullif(F.regexp_replace(F.upper(ws_trim(c)), r"\s+", " "), F.lit(""))
-    return (
-        F.when(a.isNull() | (a == missing), None)
-        .when(a.rlike(r"^\d\d+( |$)"), F.regexp_replace(a, r"^(\d*)\d\d( |$)", "$1XX$2"))
-        .when(a.rlike(r"^\d( |$)"), F.regexp_replace(a, r"^\d", "X"))
-        .otherwise(F.regexp_replace(a, r"^(\S*)\d([^\s\d]*)( |$)", "$1X$2$3"))
+    """A street address at block level. Of a first word that is a number, the last two digits are masked (the only
+    one, if it has one); of another first word, its last digit."""
+    address = F.nullif(F.regexp_replace(F.upper(ws_trim(c)), r"\s+", " "), F.lit(""))
+    word = F.substring_index(address, " ", 1)
+    size = F.length(word)
+    # Digits become one mark that no address holds; what follows the last mark has no digit.
+    marked = F.translate(word, "0123456789", "\x01" * 10)
+    tail = F.length(F.substring_index(marked, "\x01", -1))
+    masked = (
+        F.when(F.translate(word, "0123456789", "") == "", F.rpad(F.left(word, F.greatest(size - 2, F.lit(0))), size, "X"))
+        .when(tail == size, word)
+        .otherwise(F.concat(F.left(word, size - tail - 1), F.lit("X"), F.right(word, tail)))
     )
+    return F.when(address != missing, F.concat(masked, F.substring(address, size + 1, F.length(address))))
 
 
 def content_hash(json: Column) -> Column:

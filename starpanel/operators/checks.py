@@ -51,3 +51,15 @@ def completeness_check(cleaned: DataFrame, fact_owned: DataFrame, window_start,
     window = fact_owned if window_start is None else fact_owned.where(F.col("crash_date") >= F.lit(window_start))
     known = window.agg(F.count_distinct("instanceid"), F.count("*")).first()
     require(staged[0] >= least * known[0] and staged[1] >= least * known[1], f"Staging holds {staged[0]} crashes and {staged[1]} people, but the fact has {known[0]} and {known[1]} in the load window.")
+
+
+def not_in(left: DataFrame, right: DataFrame, column: str, other: str) -> DataFrame:
+    """Rows of ``left`` for which SQL's ``column NOT IN (SELECT other FROM right)`` is true.
+
+    An anti join by key, which may shuffle, and one row about ``right``: a null in it lets nothing through, and a
+    null ``column`` passes only if it is empty.
+    """
+    keys = right.select(F.col(other).alias("__k"))
+    about = keys.agg(F.count("*").alias("__n"), F.count_if(F.col("__k").isNull()).alias("__nulls"))
+    kept = left.join(keys.where(F.col("__k").isNotNull()).distinct(), F.col(column) == F.col("__k"), "left_anti")
+    return kept.join(about).where((F.col("__nulls") == 0) & (F.col(column).isNotNull() | (F.col("__n") == 0))).select(*left.columns)

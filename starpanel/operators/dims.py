@@ -64,6 +64,12 @@ def with_unknown(dim: DataFrame, name: str) -> DataFrame:
     return dim.unionByName(row.join(dim.select(key), key, "left_anti").select(*dim.columns))
 
 
+def date_role(calendar: DataFrame, role: str) -> DataFrame:
+    """The calendar under the names that it has as the date of ``role``; the fact has names like crash_date itself."""
+    names = {"date_key": "date_key", "full_date": "full_date", "day_of_week_name": "day_name", "is_weekend": "is_weekend", "month_name": "month_name", "year_month": "year_month", "quarter": "quarter", "year": "year"}
+    return calendar.select(*(F.col(a).alias(f"{role}_{b}") for a, b in names.items()))
+
+
 def numbered(members: DataFrame, key: str, order: Sequence[str], start: int) -> DataFrame:
     """Keys start + 1, start + 2, ... in the order of the natural key, without one task for all members.
 

@@ -12,10 +12,12 @@ from starpanel.functions import semantics as S
 from starpanel.operators import clean as C
 from starpanel.operators import dims as D
 from starpanel.operators import fact as X
+from starpanel.operators.checks import LoadAborted, not_in
 from starpanel.operators.holidays import holidays
 from starpanel.plans import monitor, reports
 from starpanel.plans import panel as P
-from starpanel.plans.catalogue import day, long, orders_by_cell, panel_of, panel_sql, query, t, values, values_sql
+from starpanel.plans.catalogue import SQL, day, long, orders_by_cell, panel_of, panel_sql, query, t, values, values_sql
+from starpanel.sources.store import fingerprint
 
 c = F.col
 
@@ -93,6 +95,13 @@ def _(spark, d):
 
 
 
+@query("accuracy_index", panel_sql(""", n AS (SELECT greatest(1, CAST(floor(count(*) * 0.01) AS BIGINT)) AS top, count(*) AS n, sum(crashes_next_7) AS every FROM p),
+ b AS (SELECT crashes_next_7 FROM p WHERE roll_28 IS NOT NULL ORDER BY roll_28 DESC, cell_id, day LIMIT (SELECT top FROM n))
+ SELECT round((SELECT sum(crashes_next_7) FROM b) / every / (top / n), 9) AS pai FROM n"""))
+def _(spark, d):
+    return P.predictive_accuracy_index(panel_of(spark, d)[0], "crashes_next_7", "roll_28").select(F.round("pai", 9).alias("pai"))
+
+
 @query("holidays", """WITH y AS (SELECT unnest(generate_series(2015, 2026)) AS y), f AS (SELECT make_date(y, m, d) AS d FROM y, (VALUES (1, 1), (7, 4), (11, 11), (12, 25)) AS v(m, d) UNION ALL SELECT make_date(y, 6, 19) FROM y WHERE y >= 2021),
  n AS (SELECT make_date(y, m, 1) AS first, w, k FROM y, (VALUES (1, 1, 3), (2, 1, 3), (9, 1, 1), (10, 1, 2), (11, 4, 4)) AS v(m, w, k)),
  l AS (SELECT last_day(make_date(y, 5, 1)) AS last FROM y)
@@ -144,6 +153,14 @@ def _(spark, d):
     return D.calendar(spark)
 
 
+for _role in ("crash", "reported"):
+
+    @query(f"{_role}_date_view", f"""SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS {_role}_date_key, d AS {_role}_full_date, dayname(d) AS {_role}_day_name, dayofweek(d) IN (0, 6) AS {_role}_is_weekend, monthname(d) AS {_role}_month_name,
+ strftime(d, '%Y-%m') AS {_role}_year_month, quarter(d) AS {_role}_quarter, year(d) AS {_role}_year FROM (SELECT CAST(unnest(generate_series(DATE '2010-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS DATE) AS d)""")
+    def _(spark, d, role=_role):
+        return D.date_role(D.calendar(spark), role)
+
+
 @query("time_dim", """SELECT h * 100 + m AS time_key, printf('%02d:%02d:00', h, m) AS time_of_day, h AS hour_24, CASE WHEN h % 12 = 0 THEN 12 ELSE h % 12 END AS hour_12, CASE WHEN h < 12 THEN 'AM' ELSE 'PM' END AS am_pm, m AS minute_of_hour,
  printf('%02d:00-%02d:59', h, h) AS hour_label, CASE WHEN h < 5 THEN 'Overnight' WHEN h < 7 THEN 'Early Morning' WHEN h < 9 THEN 'Morning Rush' WHEN h < 12 THEN 'Midday' WHEN h < 15 THEN 'Afternoon' WHEN h < 18 THEN 'Evening Rush' WHEN h < 22 THEN 'Evening' ELSE 'Night' END AS time_of_day_band,
  h IN (7, 8, 15, 16, 17) AS is_rush_hour, h < 5 OR h >= 22 AS is_overnight FROM (SELECT unnest(generate_series(0, 23)) AS h), (SELECT unnest(generate_series(0, 59)) AS m)""")
@@ -278,21 +295,40 @@ def _(spark, d):
     return X.fill_history(o, names).select("o_orderkey", "neighborhood")
 
 
+@query("second_load", SQL["replace_result"])
+def _(spark, d):
+    """The second delta is applied to a fact that the warehouse holds, and the fact is read from there again."""
+    from starpanel.schema import conform
+    from starpanel.sources.store import Warehouse, scratch
+
+    k, v2, before = _classified(spark, d)
+    q, w = long(F.get_json_object("row_json", "$.q")), Warehouse(spark, scratch(spark))
+    rows = lambda df, on: conform(df.select("instanceid", F.lit(C.OWNED).alias("source_dataset"), on.alias("crash_date"), q.alias("person_count")), "fact_crash_person")
+    w.commit({"fact_crash_person": rows(before, c("crash_date"))})
+    new = rows(v2.join(k.changed.select("instanceid"), "instanceid", "left_semi"), F.lit("1998-01-02").cast("date"))
+    w.commit({"fact_crash_person": X.replaced(w.read("fact_crash_person"), k.changed, k.removed, new)})
+    return w.read("fact_crash_person").groupBy("instanceid").agg(F.count("*").alias("n"), F.sum("person_count").alias("q"))
+
+
 # ---------------------------------------------------------------- joins
 
 
-@query("null_aware_not_in", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("null_aware_not_in", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey % 10 = 0)")
 def _(spark, d):
-    for n in ("customer", "orders"):
-        t(spark, d, n).createOrReplaceTempView(f"not_in_{n}")
-    return spark.sql("SELECT c_custkey FROM not_in_customer WHERE c_custkey NOT IN (SELECT o_custkey FROM not_in_orders WHERE o_custkey IS NOT NULL)")
+    return not_in(t(spark, d, "customer").select("c_custkey"), t(spark, d, "orders").where("o_custkey IS NOT NULL AND o_orderkey % 10 = 0"), "c_custkey", "o_custkey")
 
 
 @query("not_in_with_null", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_custkey > 10 THEN o_custkey END FROM orders)")
 def _(spark, d):
-    for n in ("customer", "orders"):
-        t(spark, d, n).createOrReplaceTempView(f"not_in_{n}")
-    return spark.sql("SELECT c_custkey FROM not_in_customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_custkey > 10 THEN o_custkey END FROM not_in_orders)")
+    return not_in(t(spark, d, "customer").select("c_custkey"), t(spark, d, "orders").select(F.when(c("o_custkey") > 10, c("o_custkey")).alias("k")), "c_custkey", "k")
+
+
+@query("not_in_of_nulls", "WITH k AS (SELECT CASE WHEN c_custkey % 3 > 0 THEN c_custkey END AS k FROM customer) SELECT 'some' AS side, k FROM k WHERE k NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) UNION ALL SELECT 'none', k FROM k WHERE k NOT IN (SELECT c_custkey FROM customer WHERE false)")
+def _(spark, d):
+    customer = t(spark, d, "customer").select("c_custkey")
+    k = customer.select(F.when(c("c_custkey") % 3 > 0, c("c_custkey")).alias("k"))
+    some, none = (not_in(k, customer.where(p), "k", "c_custkey") for p in ("c_custkey % 2 = 0", "false"))
+    return some.select(F.lit("some").alias("side"), "k").unionByName(none.select(F.lit("none").alias("side"), "k"))
 
 
 @query("anti_left_null", "SELECT o_orderkey FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE l_orderkey IS NULL")
@@ -360,10 +396,25 @@ def _(spark, d):
     return t(spark, d, "orders").select("o_orderkey", c("o_orderkey").alias("k"), F.when(c("o_orderkey") % 3 != 0, c("o_orderstatus")).alias("s")).select("o_orderkey", S.row_json("k", "s").alias("j"))
 
 
-@query("table_fingerprint")
+@query("table_fingerprint", "SELECT bit_xor(CAST('0x' || left(md5(CAST(to_json(struct_pack(o_orderkey := o_orderkey, o_orderstatus := o_orderstatus, o_custkey := o_custkey)) AS VARCHAR)), 15) AS BIGINT)) AS fingerprint FROM orders")
+def _(spark, d):
+    return fingerprint(t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_custkey"))
+
+
+@query("except_replace", "SELECT * EXCLUDE (n_comment) REPLACE (upper(n_name) || '/' || n_regionkey AS n_name) FROM (SELECT n_nationkey, n_name, n_regionkey, 'x' AS n_comment FROM nation)")
+def _(spark, d):
+    n = t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey", F.lit("x").alias("n_comment"))
+    return n.drop("n_comment").withColumn("n_name", F.concat_ws("/", F.upper("n_name"), "n_regionkey"))
+
+
+@query("unknown_membership", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE -1 IN (CASE WHEN l_partkey % 10 = 0 THEN -1 ELSE 1 END, CASE WHEN l_suppkey % 10 = 0 THEN -1 END)")
+def _(spark, d):
+    return t(spark, d, "lineitem").where(F.lit(-1).isin(F.when(c("l_partkey") % 10 == 0, -1).otherwise(1), F.when(c("l_suppkey") % 10 == 0, -1))).select("l_orderkey", "l_linenumber")
+
+
+@query("joined_names", "SELECT n_regionkey, string_agg(n_name, '; ' ORDER BY n_name) AS names FROM nation GROUP BY 1")
 def _(spark, d):
-    n = t(spark, d, "nation")
-    return n.agg(F.bit_xor(F.xxhash64(F.to_json(F.struct(*n.columns), {"ignoreNullFields": "false"}))).alias("fingerprint"))
+    return t(spark, d, "nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), "; ").alias("names"))
 
 
 # ---------------------------------------------------------------- cleaning, on literal rows
@@ -385,31 +436,81 @@ def _(spark, d):
     return values(spark, [(r,) for r in _CODED], "raw string").select("raw", S.strip_code(c("raw")).alias("label"))
 
 
+# Labels and what they become, as literals.
+_UNSAID = ((None, "Unknown"), ("", "Unknown"))
+_INJURED = "Injury (Severity Unspecified)"
 _LABELS = {
-    "light": (L.LIGHT, [None, "", "DAYLIGHT", "DAWN", "DUSK", "DARK - ROADWAY NOT LIGHTED", "DARK - LIGHTED ROADWAY", "DARK - UNKNOWN ROADWAY LIGHTING", "DARK", "UNKNOWN", "GLARE"]),
-    "road_condition": (L.ROAD_CONDITION, [None, "", "DRY", "WET", "SNOW", "ICE", "SLUSH", "WATER (STANDING)", "SAND", "UNKNOWN", "OTHER X"]),
-    "contour": (L.CONTOUR, [None, "", "STRAIGHT LEVEL", "STRAIGHT GRADE", "CURVE LEVEL", "CURVE GRADE", "HILL"]),
-    "surface": (L.SURFACE, [None, "", "BLACKTOP", "CONCRETE", "BRICK", "SLAG", "DIRT", "UNKNOWN", "GLASS"]),
-    "weather": (L.WEATHER, [None, "", "CLEAR", "CLOUDY", "RAIN", "SNOW", "FREEZING RAIN", "SLEET, HAIL", "FOG", "SEVERE CROSSWINDS", "BLOWING SAND", "ASH"]),
-    "manner": (L.MANNER, [None, "", "ANGLE", "REAR-END", "REAR-TO-REAR", "HEAD-ON", "BACKING", "SIDESWIPE, SAME DIRECTION", "SIDESWIPE, OPPOSITE", "NOT COLLISION BETWEEN", "ODD"]),
-    "severity": (L.SEVERITY, [None, "", "FATAL", "SERIOUS INJURY SUSPECTED", "MINOR INJURY SUSPECTED", "INJURY POSSIBLE", "INJURY", "NONFATAL INJURY", "PROPERTY DAMAGE ONLY", "ODD"]),
-    "injury": (L.INJURY, [None, "", "FATAL", "INCAPACITATING", "SUSPECTED SERIOUS INJURY", "NON-INCAPACITATING", "SUSPECTED MINOR INJURY", "POSSIBLE INJURY", "NO APPARENTY INJURY", "ODD"]),
-    "person": (L.PERSON, [None, "", "DRIVER", "OCCUPANT OF VEHICLE", "PEDESTRIAN", "RIDER"]),
-    "gender": (L.GENDER, [None, "", "MALE", "M", "FEMALE", "X"]),
+    "light": (L.LIGHT, (*_UNSAID, ("DAYLIGHT", "Daylight"), ("DAWN", "Dawn"), ("DUSK", "Dusk"), ("DARK - ROADWAY NOT LIGHTED", "Dark - Not Lighted"), ("DARK - LIGHTED ROADWAY", "Dark - Lighted"),
+        ("DARK - UNKNOWN ROADWAY LIGHTING", "Dark - Unknown Lighting"), ("DARK", "Dark - Unknown Lighting"), ("UNKNOWN", "Unknown"), ("GLARE", "Other"))),
+    "road_condition": (L.ROAD_CONDITION, (*_UNSAID, ("DRY", "Dry"), ("WET", "Wet"), ("SNOW", "Snow"), ("ICE", "Ice"), ("SLUSH", "Slush"), ("WATER (STANDING)", "Standing/Moving Water"),
+        ("SAND", "Sand/Mud/Dirt/Oil/Gravel"), ("UNKNOWN", "Unknown"), ("OTHER X", "Other"))),
+    "contour": (L.CONTOUR, (*_UNSAID, ("STRAIGHT LEVEL", "Straight Level"), ("STRAIGHT GRADE", "Straight Grade"), ("CURVE LEVEL", "Curve Level"), ("CURVE GRADE", "Curve Grade"), ("HILL", "Unknown"))),
+    "surface": (L.SURFACE, (*_UNSAID, ("BLACKTOP", "Blacktop/Asphalt"), ("CONCRETE", "Concrete"), ("BRICK", "Brick/Block"), ("SLAG", "Slag/Gravel/Stone"), ("DIRT", "Dirt"), ("UNKNOWN", "Unknown"), ("GLASS", "Other"))),
+    "weather": (L.WEATHER, (*_UNSAID, ("CLEAR", "Clear"), ("CLOUDY", "Cloudy"), ("RAIN", "Rain"), ("SNOW", "Snow"), ("FREEZING RAIN", "Freezing Rain/Drizzle"), ("SLEET, HAIL", "Sleet/Hail"), ("FOG", "Fog/Smog/Smoke"),
+        ("SEVERE CROSSWINDS", "Severe Crosswinds"), ("BLOWING SAND", "Blowing Sand/Soil/Dirt/Snow"), ("ASH", "Other/Unknown"))),
+    "manner": (L.MANNER, (*_UNSAID, ("ANGLE", "Angle"), ("REAR-END", "Rear-End"), ("REAR-TO-REAR", "Rear-to-Rear"), ("HEAD-ON", "Head-On"), ("BACKING", "Backing"), ("SIDESWIPE, SAME DIRECTION", "Sideswipe - Same Direction"),
+        ("SIDESWIPE, OPPOSITE", "Sideswipe - Opposite Direction"), ("NOT COLLISION BETWEEN", "Not Collision Between Two Motor Vehicles"), ("ODD", "Unknown"))),
+    "severity": (L.SEVERITY, (*_UNSAID, ("FATAL", "Fatal"), ("SERIOUS INJURY SUSPECTED", "Serious Injury Suspected"), ("MINOR INJURY SUSPECTED", "Minor Injury Suspected"), ("INJURY POSSIBLE", "Possible Injury"),
+        ("INJURY", _INJURED), ("NONFATAL INJURY", _INJURED), ("PROPERTY DAMAGE ONLY", "Property Damage Only"), ("ODD", "Unknown"))),
+    "injury": (L.INJURY, (*_UNSAID, ("FATAL", "K - Fatal"), ("INCAPACITATING", "A - Suspected Serious"), ("SUSPECTED SERIOUS INJURY", "A - Suspected Serious"), ("NON-INCAPACITATING", "B - Suspected Minor"),
+        ("SUSPECTED MINOR INJURY", "B - Suspected Minor"), ("POSSIBLE INJURY", "C - Possible"), ("NO APPARENTY INJURY", "O - No Apparent Injury"), ("ODD", "Unknown"))),
+    "person": (L.PERSON, (*_UNSAID, ("DRIVER", "Driver"), ("OCCUPANT OF VEHICLE", "Occupant"), ("PEDESTRIAN", "Pedestrian"), ("RIDER", "Unknown"))),
+    "gender": (L.GENDER, (*_UNSAID, ("MALE", "Male"), ("M", "Male"), ("FEMALE", "Female"), ("X", "Unknown"))),
 }
 
 
 def _ladder(name):
     ladder, labels = _LABELS[name]
 
-    @query(f"ladders_{name}", f"SELECT raw, {ladder.sql('raw')} AS label FROM {values_sql([(x,) for x in labels], 'raw')}")
+    @query(f"ladders_{name}", f"SELECT raw, label FROM {values_sql(list(labels), 'raw, label')}")
     def _(spark, d):
-        return values(spark, [(x,) for x in labels], "raw string").select("raw", ladder.column(c("raw")).alias("label"))
+        return values(spark, [(x,) for x, _ in labels], "raw string").select("raw", ladder.column(c("raw")).alias("label"))
 
 
 for _name in _LABELS:
     _ladder(_name)
 
+# Staged rows with what they say of the flags of their dimensions; None: it can't be told.
+_FLAGS = ("is_dark", "is_slick", "is_curve", "is_grade", "is_adverse_weather", "is_collision", "is_injury_crash", "is_fatal_crash", "is_motorist", "is_intersection")
+_STAGED = [
+    (dict(socrata_id="a", lightconditionsprimary="4 - DARK - LIGHTIED ROADWAY", roadconditionsprimary="2 - WET", roadcontour="4 - CURVE GRADE", weather="3 - RAIN", mannerofcrash="2 - REAR-END", crashseverity="1 - FATAL", typeofperson="D - DRIVER", crashlocation="1 - FOUR-WAY INTERSECTION"),
+     (True, True, True, True, True, True, True, True, True, True)),
+    (dict(socrata_id="b", lightconditionsprimary="1 - DAYLIGHT", roadconditionsprimary="1 - DRY", roadcontour="1 - STRAIGHT LEVEL", weather="1 - CLEAR", mannerofcrash="1 - NOT COLLISION BETWEEN TWO MOTOR VEHICLES IN TRANSPORT", crashseverity="5 - PROPERTY DAMAGE ONLY", typeofperson="P - PEDESTRIAN", crashlocation="01 - NOT AN INTERSECTION"),
+     (False, False, False, False, False, False, False, False, False, False)),
+    (dict(socrata_id="c", lightconditionsprimary="9 - UNKNOWN", roadconditionsprimary="9 - UNKNOWN", roadcontour="9 - UNKNOWN", weather="9 - UNKNOWN", mannerofcrash="9 - UNKNOWN", crashseverity="9 - UNKNOWN", typeofperson="U - UNKNOWN", crashlocation="99 - UNKNOWN"),
+     (False, False, False, False, False, None, None, None, None, None)),
+    (dict(socrata_id="d", lightconditionsprimary="5 - DARK - ROADWAY NOT LIGHTED", roadconditionsprimary="7 - WATER (STANDING, MOVING)", roadcontour="2 - STRAIGHT GRADE", weather="2 - CLOUDY", mannerofcrash="6 - ANGLE", crashseverity="4 - INJURY POSSIBLE", typeofperson="O - OCCUPANT", crashlocation="06 - FIVE-POINT, OR MORE"),
+     (True, True, False, True, False, True, True, False, True, True)),
+    (dict(socrata_id="e", lightconditionsprimary="3 - DUSK", roadconditionsprimary="6 - SAND, MUD, DIRT, OIL, GRAVEL", roadcontour="3 - CURVE LEVEL", weather="8 - OTHER/UNKNOWN", mannerofcrash="3 - HEAD-ON", crashseverity="2 - INJURY", typeofperson="D - DRIVER", crashlocation="20 - DRIVEWAY"),
+     (False, False, True, False, False, True, True, False, True, False)),
+]
+
+
+def _staged(spark):
+    from starpanel.schema import STAGING_COLUMNS
+
+    return values(spark, [tuple(r.get(n) for n in STAGING_COLUMNS) for r, _ in _STAGED], ", ".join(f"{n} string" for n in STAGING_COLUMNS))
+
+
+@query("derived_flags", f"SELECT * FROM {values_sql([(r['socrata_id'], *f) for r, f in _STAGED], 'socrata_id, ' + ', '.join(_FLAGS))}")
+def _(spark, d):
+    rows = C.clean(_staged(spark))
+    out = rows
+    for nk, members in D.members(rows).values():
+        out = out.join(members.select(nk, *(n for n in members.columns if n in _FLAGS)).distinct(), nk)
+    return out.select("socrata_id", *_FLAGS)
+
+
+@query("hash_input", "SELECT socrata_id, CAST(to_json(struct_pack(" + ", ".join(f"{n} := CAST({n} AS VARCHAR)" for n in C.HASHED) + f")) AS VARCHAR) AS row_json FROM {values_sql([(r['socrata_id'], *(r.get(n) for n in C.HASHED)) for r, _ in _STAGED], 'socrata_id, ' + ', '.join(C.HASHED))}")
+def _(spark, d):
+    return C.clean(_staged(spark)).select("socrata_id", "row_json")
+
+
+@query("typo_fix", "SELECT * FROM (VALUES ('a', 'DARK - LIGHTED ROADWAY'), ('b', 'DAYLIGHT'), ('c', 'UNKNOWN'), ('d', 'DARK - ROADWAY NOT LIGHTED'), ('e', 'DUSK')) AS v(socrata_id, light_lbl)")
+def _(spark, d):
+    return C.clean(_staged(spark)).select("socrata_id", "light_lbl")
+
+
 _INITS = [("FOUR-WAY INTERSECTION", "Four-Way Intersection"), ("ON RAMP/OFF RAMP", "On Ramp/Off Ramp"), ("NOT AN INTERSECTION", "Not An Intersection"), ("O'BRIEN 5TH", "O'Brien 5th"), ("", ""), (None, None)]
 
 
@@ -525,6 +626,27 @@ def _(spark, d):
     return monitor.problems(values(spark, [], "holder string, heartbeat_at timestamp_ntz"), log, values(spark, [(dt.date(2026, 10, 1),)], "crash_date date"), _NOW)
 
 
+@query("watchdog_old_fact", "SELECT 'newest crash is over 60 days old' AS problem")
+def _(spark, d):
+    log = values(spark, [("a", "succeeded", dt.datetime(2026, 10, 20, 6, 0), "2026-10-15T00:00:00.000Z")], "load_id string, status string, finished_at timestamp_ntz, socrata_updated_at string")
+    return monitor.problems(values(spark, [], "holder string, heartbeat_at timestamp_ntz"), log, values(spark, [(dt.date(2026, 8, 20),), (None,)], "crash_date date"), _NOW)
+
+
+_CAPS = [(100, 5, False, False), (101, 5, False, True), (101, 5, True, False), (300, 30_000, False, False), (301, 30_000, False, True), (0, 0, False, False)]
+
+
+@query("deletion_cap", f"SELECT removed, deletable, allowed, aborted FROM {values_sql(_CAPS, 'removed, deletable, allowed, aborted')}")
+def _(spark, d):
+    def aborted(*case):
+        try:
+            X.check_cap(*case)
+        except LoadAborted:
+            return True
+        return False
+
+    return values(spark, [(*k[:3], aborted(*k[:3])) for k in _CAPS], "removed int, deletable int, allowed boolean, aborted boolean")
+
+
 @query("watermark", "SELECT max(CAST(o_orderdate AS DATE)) - 90 AS window_start FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '2000-01-01'")
 def _(spark, d):
     from starpanel.plans.load import watermark

@@ -54,6 +54,7 @@ def run_load(w: Warehouse, lease: Lease, manifest, load_id: str, mode: str, wind
     c, staging, old = F.col, w.read("stg_crash_person"), w.read("fact_crash_person")
     checks.staging_checks(staging, old, manifest, KEYED)
     rows = clean(staging, old.where(c("source_dataset") == FROZEN).select("localreportno")).persist()
+    people = None
     try:
         checks.completeness_check(rows, old.where(c("source_dataset") == OWNED), window_start)
         fresh = {n: dims.merge(w.read(n), df, n, nk, reprocess) for n, (nk, df) in dims.members(rows).items()}
@@ -94,7 +95,9 @@ def run_load(w: Warehouse, lease: Lease, manifest, load_id: str, mode: str, wind
             lease.resolved()  # one manifest was replaced or it wasn't: either way the outcome is known
         return Counts(diff.new, diff.changed, n_removed, diff.deferred, inserted, deleted, names.count(), named)
     finally:
-        rows.unpersist()
+        for held in (rows, people):
+            if held is not None:
+                held.unpersist()
 
 
 def mark(w: Warehouse, load_id: str, status: str, error: str | None = None) -> None:

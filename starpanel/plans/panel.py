@@ -119,23 +119,35 @@ def build(events: DataFrame, points: DataFrame, config: PanelConfig, end: dt.dat
 
 
 def label_mismatches(p: DataFrame) -> DataFrame:
-    """Rows whose label isn't the sum of the next seven days of their own cell, recomputed by a range join."""
-    a, b = p.select("cell_id", "day", "crashes_next_7").alias("a"), p.select("cell_id", "day", "crashes").alias("b")
-    near = (F.col("a.cell_id") == F.col("b.cell_id")) & F.col("b.day").between(F.date_add("a.day", 1), F.date_add("a.day", 7))
-    again = a.join(b, near).groupBy(F.col("a.cell_id").alias("c"), F.col("a.day").alias("d")).agg(F.sum("b.crashes").alias("next_7"), F.count("*").alias("n")).where("n = 7")
+    """Rows whose label isn't the sum of the next seven days of their own cell: each day is given to the seven before it."""
+    given = p.select("cell_id", "crashes", "day", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("k")).select("cell_id", F.expr("date_sub(day, k)").alias("day"), "crashes")
+    again = given.groupBy(F.col("cell_id").alias("c"), F.col("day").alias("d")).agg(F.sum("crashes").alias("next_7"), F.count("*").alias("n")).where("n = 7")
     return p.join(again, (p.cell_id == again.c) & (p.day == again.d), "left").where(~F.col("crashes_next_7").eqNullSafe(F.col("next_7"))).select("cell_id", "day")
 
 
+#: Days of a cell that one key holds; no window of the lag features is longer.
+SPAN = 91
+
+
 def recomputed_lags(p: DataFrame) -> DataFrame:
-    """Lag features of every row, from joins to strictly earlier days only."""
-    a, b = p.select("cell_id", "day").alias("a"), p.select("cell_id", "day", "crashes").alias("b")
-    prior = (F.col("a.cell_id") == F.col("b.cell_id")) & F.col("b.day").between(F.date_sub("a.day", 91), F.date_sub("a.day", 1))
-    near, x = F.col("b.day") >= F.date_sub("a.day", 28), F.col("b.crashes")
-    r = a.join(b, prior).groupBy(F.col("a.cell_id").alias("cell_id"), F.col("a.day").alias("day")).agg(
-        F.avg(F.when(near, x)).alias("avg_28"), F.count_if(near).alias("n_28"), F.avg(x).alias("avg_91"), F.count("*").alias("n_91"), F.max(F.when(F.col("b.day") == F.date_sub("a.day", 7), x)).alias("lag_7"))
+    """Lag features of every row, from strictly earlier days only.
+
+    Days meet by cell and span: a day looks back into its own span and the one before it, so that a key holds two spans
+    of one cell, however long the panel is.
+    """
+    span = F.floor(F.datediff("day", F.lit("1970-01-01").cast("date")) / SPAN)
+    rows = p.select("cell_id", F.col("day").alias("at"), span.alias("span"))
+    past = p.select("cell_id", "day", "crashes", F.explode(F.array(span, span + 1)).alias("span"))
+    ago = F.datediff("at", "day")
+    seen = rows.join(past, ["cell_id", "span"]).where(ago.between(1, SPAN)).withColumn("ago", ago)
+    within = lambda days: F.when(F.col("ago") <= days, F.col("crashes"))
+    mean = lambda days, least: F.when(F.count(within(days)) >= least, F.avg(within(days)))
+    lags = seen.groupBy("cell_id", F.col("at").alias("day")).agg(
+        F.max(F.when(F.col("ago") == 7, F.col("crashes"))).alias("lag_7"), mean(28, 14).alias("roll_28"), mean(91, 30).alias("roll_91")
+    )
     year = p.select("cell_id", F.date_add("day", 364).alias("day"), F.col("crashes").alias("lag_364"))
-    out = p.select("cell_id", "day").join(r, ["cell_id", "day"], "left").join(year, ["cell_id", "day"], "left")
-    return out.select("cell_id", "day", "lag_7", "lag_364", F.when(F.col("n_28") >= 14, F.col("avg_28")).alias("roll_28"), F.when(F.col("n_91") >= 30, F.col("avg_91")).alias("roll_91"))
+    out = p.select("cell_id", "day").join(lags, ["cell_id", "day"], "left").join(year, ["cell_id", "day"], "left")
+    return out.select("cell_id", "day", "lag_7", "lag_364", "roll_28", "roll_91")
 
 
 def leaks(p: DataFrame) -> DataFrame:

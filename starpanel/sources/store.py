@@ -10,12 +10,14 @@ import json
 import os
 import re
 import shutil
+import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starpanel.functions.semantics import row_json
 from starpanel.operators.checks import LoadAborted, require
 from starpanel.schema import TABLES, empty
 
@@ -23,6 +25,23 @@ _NAME = re.compile(r"[a-z][a-z0-9_]{0,62}")
 _LABEL_KEY, _LABEL_VALUE = re.compile(r"[a-z][a-z0-9_-]{0,62}"), re.compile(r"[a-z0-9_-]{0,63}")
 
 
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row: the exclusive or of the first 60 bits of every row's hash, whatever the order of rows."""
+    return df.agg(F.bit_xor(F.conv(F.left(F.md5(row_json(*df.columns)), F.lit(15)), 16, 10).cast("long")).alias("fingerprint"))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a warehouse of one query, under the folder that the cluster shares."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
+        where = tempfile.mkdtemp(prefix="starpanel-")
+    if "://" in where and not where.startswith("file://"):
+        raise RuntimeError("a warehouse needs a POSIX file system")
+    return os.path.join(where.removeprefix("file://"), f"warehouse-{uuid.uuid4().hex}")
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, os.path.abspath(root)
@@ -77,7 +96,7 @@ class Warehouse:
             df = df.sortWithinPartitions(*spec.cluster)
         writer = df.write
         if spec and spec.partition == ("crash_month",):
-            writer = df.withColumn("crash_month", F.trunc("crash_date", "MM")).repartition("crash_month").sortWithinPartitions("crash_month", *spec.cluster).write.partitionBy("crash_month")
+            writer = df.withColumn("crash_month", F.trunc("crash_date", "MM")).hint("rebalance", "crash_month").sortWithinPartitions("crash_month", *spec.cluster).write.partitionBy("crash_month")
         writer.parquet(os.path.join(self.root, where))
         return where
 
@@ -123,5 +142,4 @@ class Warehouse:
 
     def fingerprint(self, name: str) -> int:
         """An order-insensitive hash of a table's rows."""
-        df = self.read(name)
-        return df.select(F.bit_xor(F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))).first()[0]
+        return self.read(name).transform(fingerprint).first()[0]
