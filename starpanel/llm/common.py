@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,15 +70,25 @@ class Recent:
         return out
 
 
+#: Parquet checks its own pages; side files with checksums would double the files of a folder on a local or shared mount.
+_PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+#: Narrow rows in a file of a table whose size is known, and files that a smaller table may have.
+FILE_ROWS, FEW_FILES = 1_000_000, 8
+
+
 class Written:
     """Tables written to the shared folder: they cut lineage and survive the loss of any executor."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/starpanel-{uuid.uuid4().hex}"
 
-    def __call__(self, df: DataFrame, name: str, replaces: str | None = None) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, replaces: str | None = None, rows: int | None = None) -> DataFrame:
+        """``rows``: about how many there are, so that a small table is not written as many small files."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df = df if rows is None else df.coalesce(max(FEW_FILES, -(-rows // FILE_ROWS)))
+        df.write.mode("overwrite").options(**_PLAIN_FILES).parquet(path)
         if replaces:
             self.drop(replaces)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -92,20 +103,21 @@ def components(written: Written, edges: DataFrame, tag: str, rounds: int = 60) -
     """(node, component): every node of ``edges`` (u, v) with the smallest node that it reaches.
 
     Labels take the minimum over neighbours, then the label of their label, until none changes; each round is
-    written to the shared folder. Rounds grow with the logarithm of a component's diameter. The minimum is
+    written to the shared folder; edges are kept on the executors' disks and made again where one is lost. Rounds grow with the logarithm of a component's diameter. The minimum is
     pre-aggregated before its shuffle, so a node with very many edges costs one row for each task.
     """
-    both = edges.where("u <> v").select("u", "v").union(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    both = written(both, f"{tag}-edges")
-    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component")), f"{tag}-0")
+    both = edges.where("u <> v").select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+    both = both.select("e.u", "e.v").distinct().persist(StorageLevel.DISK_ONLY)
+    size = both.count()
+    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component")), f"{tag}-0", rows=size)
     for k in range(1, rounds + 1):
         near = both.join(labels, both.v == labels.node).groupBy(F.col("u").alias("__u")).agg(F.min("component").alias("__least"))
         low = labels.join(near, labels.node == near["__u"]).select("node", F.least("component", "__least").alias("low"), F.col("component").alias("old"))
-        low = written(low, f"{tag}-low")
-        up = low.select(F.col("node").alias("__node"), F.col("low").alias("__up"))
-        labels = written(low.join(up, low.low == up["__node"]).select("node", F.least("low", "__up").alias("component"), "old"), f"{tag}-{k}", replaces=f"{tag}-{k - 1}")
+        up = low.select(F.col("node").alias("__node"), F.col("low").alias("__up"))  # made from the same exchanges
+        labels = written(low.join(up, low.low == up["__node"]).select("node", F.least("low", "__up").alias("component"), "old"), f"{tag}-{k}", replaces=f"{tag}-{k - 1}", rows=size)
         changed = labels.where("component <> old").limit(1).count()
         labels = labels.select("node", "component")
         if not changed:
+            both.unpersist()
             return labels
     raise RuntimeError(f"components did not settle in {rounds} rounds")

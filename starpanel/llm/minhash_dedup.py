@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ from starpanel.llm.embedding_dedup import fold
 POSITIONS, BLOCK = 64, 512
 #: Entries of a bucket that are compared by their signatures at once.
 BUCKET_BLOCK = 2048
+#: Rows without texts that are handed to a Python worker at once.
+NARROW_ROWS = 10_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -174,7 +177,8 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
 
     signed = written(rows.mapInArrow(sign, "doc_id long, n long, h1 long, h2 long, sig binary"), "signed")
     classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    classes = written(classes, "classes")
+    small_batches(spark, NARROW_ROWS)
+    classes = classes.persist(StorageLevel.DISK_ONLY)  # two stages from what was written, for lost executors
 
     # 1. Buckets, each with a hub of its own.
     def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +206,7 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
 
     entered = classes.select("id", "sig").mapInPandas(enter, "key long, id long")
     entered = entered.repartition("key").sortWithinPartitions("key", F.xxhash64("id"), "id")
-    members = written(entered.mapInPandas(bucket, "key long, id long, hub long"), "members")
+    members = entered.mapInPandas(bucket, "key long, id long, hub long").persist(StorageLevel.DISK_ONLY)
     sig = classes.select("id", "n", "sig")
     star = members.where("id <> hub").select("id", "hub").distinct()
     star = star.join(sig, "id").join(sig.select(F.col("id").alias("hub"), F.col("n").alias("n2"), F.col("sig").alias("sig2")), "hub")
@@ -214,8 +218,12 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
             ok = ((a != c).sum(axis=1) <= within) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
             yield pd.DataFrame({"u": b["hub"][ok], "v": b["id"][ok]})
 
-    candidates = written(star.mapInPandas(close, "u long, v long"), "star")
-    group = components(written, candidates, "groups")
+    # An entry has a link to one hub, that of the first place in the order; that hub has links to the entry's others.
+    # So links between hubs come up once for all entries that share them.
+    hubs = star.mapInPandas(close, "u long, v long").groupBy("v").agg(F.array_sort(F.collect_set(F.struct(F.xxhash64("u").alias("place"), "u"))).alias("hubs"))
+    one = F.col("hubs")[0]["u"]
+    pairs = F.transform("hubs", lambda h, i: F.struct(F.when(i == 0, F.col("v")).otherwise(one).alias("u"), h["u"].alias("v")))
+    group = components(written, hubs.select(F.inline(pairs)), "groups")
 
     # 2. Buckets that hold several groups still.
     placed = members.select("key", "id").join(group, F.col("id") == group.node, "left").select("key", "id", F.coalesce("component", "id").alias("g"))
@@ -230,16 +238,17 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
                 labels, place = np.unique(g, return_inverse=True)
                 yield links(labels, place[a], place[b])
 
-    joined = components(written, written(open_.mapInPandas(across, "u long, v long").distinct(), "across"), "joined-groups")
+    joined = components(written, open_.mapInPandas(across, "u long, v long"), "joined-groups")
     onto = joined.select(F.col("node").alias("__g"), F.col("component").alias("__onto"))
     alone = joined.join(group, "node", "left_anti").select("node", "component")  # entries that had no link to a hub
     group = group.join(onto, group.component == onto["__g"], "left").select("node", F.coalesce("__onto", "component").alias("component")).unionByName(alone)
 
     # 3. Confirmation on full sets.
     size = group.groupBy("component").agg(F.count("*").alias("c"))
-    group = written(group.join(size, "component").select(F.col("node").alias("id"), F.col("component").alias("g"), "c"), "group")
+    group = written(group.join(size, "component").select(F.col("node").alias("id"), F.col("component").alias("g"), "c"), "group", rows=group.count())
+    members.unpersist()
+    small_batches(spark)
     texts = rows.join(group, rows.doc_id == group.id).select("id", "g", "c", "text")
-    texts = written(texts, "texts")
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(width)
@@ -261,11 +270,12 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
         return df.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInPandas(confirm, "u long, v long")
 
     large = texts.where(F.col("c") > BLOCK)
-    found = written(checked(by_blocks(texts, 1).unionByName(by_blocks(large, 2))), "confirmed")
-    if large.limit(1).count():
+    found = checked(by_blocks(texts, 1).unionByName(by_blocks(large, 2))).persist(StorageLevel.DISK_ONLY)
+    held = [classes, found]
+    if not group.where(F.col("c") > BLOCK).isEmpty():
         own = components(written, found, "confirmed-components")
-        state = large.select("id", "g", "c").distinct().join(own, F.col("id") == own.node, "left").select("id", "g", "c", F.coalesce("component", "id").alias("k"))
-        state = written(state, "state")
+        state = group.where(F.col("c") > BLOCK).join(own, F.col("id") == own.node, "left").select("id", "g", "c", F.coalesce("component", "id").alias("k"))
+        state = written(state, "state", rows=state.count())
         w = Window.partitionBy("g").orderBy(F.desc("m"), "k")
         main = state.groupBy("g", "k").agg(F.count("*").alias("m")).withColumn("__r", F.row_number().over(w)).where("__r = 1").select("g", F.col("k").alias("main"))
         state = state.join(main, "g")
@@ -278,8 +288,13 @@ def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
         second = state.select("id", "g", F.explode(F.sequence(zero, blocks - 1)).alias("i"), there.alias("j"), F.lit(1).alias("side"))
         grid = first.unionByName(second).groupBy("id", "g", "i", "j").agg(F.when(F.count("*") > 1, 2).otherwise(F.first("side")).alias("side"))
         rest = checked(grid.join(large.select("id", "text").dropDuplicates(["id"]), "id"))
-        found = written(found.union(rest), "confirmed-all")
+        found = found.union(rest).persist(StorageLevel.DISK_ONLY)
+        held.append(found)
     reach = components(written, found, "reach")
+    for done in held:
+        done.unpersist()
+    for done in ("state", "group"):
+        written.drop(done)
     known = classes.join(reach, classes.id == reach.node, "left").select("n", "h1", "h2", F.coalesce("component", "id").alias("component"))
     out = signed.join(known, ["n", "h1", "h2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
