@@ -97,6 +97,15 @@ def replaced(fact: DataFrame, changed: DataFrame, gone: DataFrame, new_rows: Dat
     return fact.where(F.col("source_dataset") != OWNED).unionByName(owned).unionByName(new_rows)
 
 
+def touched_months(fact: DataFrame, changed: DataFrame, gone: DataFrame, new_rows: DataFrame, names: DataFrame) -> set[dt.date | None]:
+    """The months in which a load changes any row: those of the rows that go, of those that come, and of the names it fills."""
+    month = F.trunc("crash_date", "MM").alias("month")
+    out = changed.select("instanceid").union(gone.select("instanceid"))
+    going = fact.where(F.col("source_dataset") == OWNED).join(out, "instanceid", "left_semi")
+    filled = fact.where((F.col("source_dataset") == FROZEN) & F.col("neighborhood").isNull()).join(names.where(F.col("neighborhood").isNotNull()), "localreportno", "left_semi")
+    return {r.month for r in going.select(month).union(new_rows.select(month)).union(filled.select(month)).distinct().collect()}
+
+
 def history_names(staging: DataFrame, fact: DataFrame) -> DataFrame:
     """(localreportno, neighborhood) of staged crashes that the frozen history has."""
     old = fact.where(F.col("source_dataset") == FROZEN).select("localreportno").distinct()

@@ -8,8 +8,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 import re
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import replace
@@ -84,7 +84,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None, config: PanelCon
                 window, _ = watermark(w.read("fact_crash_person"), today or dt.date.today())
             with open(a.feed) as f:
                 feed = FileFeed(json.loads(line) for line in f)
-            staged, manifest = fetch(spark, feed, tempfile.mkdtemp(prefix="starpanel-pages-"), None if window is None else window.isoformat())
+            staged, manifest = fetch(spark, feed, os.path.join(w.root, "pages", load_id), None if window is None else window.isoformat())
             w.replace_staging(staged, manifest)
             counts = run_load(w, lease, manifest, load_id, mode if window or not a.delta else "full", window, started, a.reprocess, a.allow_deletions)
             reports.show("Grain", reports.grain(w.read("fact_crash_person")))

@@ -88,9 +88,10 @@ def run_load(w: Warehouse, lease: Lease, manifest, load_id: str, mode: str, wind
                 extra_check(new)
             lease.renew("commit")  # the fence: whoever lost the lock publishes nothing
 
+        months = fact.touched_months(old, k.changed, k.removed, new_rows, names)
         lease.submitting()
         try:
-            w.commit({"fact_crash_person": post, "etl_load_log": log.unionByName(entry)}, check)
+            w.commit({"fact_crash_person": post, "etl_load_log": log.unionByName(entry)}, check, months={"fact_crash_person": months})
         finally:
             lease.resolved()  # one manifest was replaced or it wasn't: either way the outcome is known
         return Counts(diff.new, diff.changed, n_removed, diff.deferred, inserted, deleted, names.count(), named)

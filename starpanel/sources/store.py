@@ -1,11 +1,14 @@
 """Versioned Parquet tables behind one manifest.
 
 A commit writes every touched table to a folder of its own and then replaces the manifest in one step, so readers see
-all tables of a commit or none; a failure before that leaves the old manifest. Valid on one POSIX file system.
+all tables of a commit or none; a failure before that leaves the old manifest. Of a table by months the manifest names
+the folder of each month, and a commit may write some months only: the others keep their files. Valid on one POSIX
+file system.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import re
@@ -30,6 +33,10 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.bit_xor(F.conv(F.left(F.md5(row_json(*df.columns)), F.lit(15)), 16, 10).cast("long")).alias("fingerprint"))
 
 
+def _month_folder(month: dt.date | None) -> str:
+    return f"crash_month={month.isoformat() if month else '__HIVE_DEFAULT_PARTITION__'}"
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder for a warehouse of one query, under the folder that the cluster shares."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -78,9 +85,13 @@ class Warehouse:
             raise KeyError(name)
         return self._open(name, where)
 
-    def _open(self, name: str, where: str) -> DataFrame:
+    def _open(self, name: str, where: str | dict[str, str]) -> DataFrame:
         """A registered table is read by its schema: a version without rows may have no files, and one that is
         partitioned has the column it is partitioned by besides."""
+        if isinstance(where, dict):
+            if not where:
+                return empty(self.spark, name)
+            return self.spark.read.schema(TABLES[name].schema).parquet(*(os.path.join(self.root, w, month) for month, w in sorted(where.items()))).select(*TABLES[name].schema.names)
         path = os.path.join(self.root, where)
         if name not in TABLES:
             return self.spark.read.parquet(path)
@@ -100,23 +111,35 @@ class Warehouse:
         writer.parquet(os.path.join(self.root, where))
         return where
 
-    def commit(self, tables: dict[str, DataFrame], check: Callable[[dict[str, DataFrame]], None] | None = None, labels: dict[str, dict[str, str]] | None = None) -> None:
+    def commit(
+        self, tables: dict[str, DataFrame], check: Callable[[dict[str, DataFrame]], None] | None = None, labels: dict[str, dict[str, str]] | None = None, months: dict[str, set[dt.date | None]] | None = None
+    ) -> None:
         """Writes the tables, hands what was written to ``check``, and publishes all of them in one step.
 
-        A failure of the check leaves nothing behind.
+        ``months``: for tables by months, those that are replaced; rows of others stay as they are stored, and the
+        frame need not hold them. A failure of the check leaves nothing behind.
         """
         before = self.manifest()
         for per in (labels or {}).values():
             for k, v in per.items():
                 if not _LABEL_KEY.fullmatch(k) or not _LABEL_VALUE.fullmatch(v):
                     raise ValueError(f"bad label {k}={v}")
-        written = {}
+        written, now = {}, {}
         try:
             for name, df in tables.items():
-                written[name] = self.write(df, name)
+                replaced = None if months is None else months.get(name)
+                if replaced is not None:
+                    month = F.trunc("crash_date", "MM")
+                    df = df.where(month.isin([m for m in replaced if m]) | (month.isNull() & F.lit(None in replaced)))
+                written[name] = now[name] = self.write(df, name)
+                if name in TABLES and TABLES[name].partition:
+                    kept = before["tables"].get(name, {}) if replaced is not None else {}
+                    gone = {_month_folder(m) for m in replaced or ()}
+                    new = {x: written[name] for x in os.listdir(os.path.join(self.root, written[name])) if x.startswith("crash_month=")}
+                    now[name] = {m: w for m, w in kept.items() if m not in gone} | new
             if check:
-                check({n: self._open(n, w) for n, w in written.items()})
-            after = before | {"tables": before["tables"] | written, "labels": {**before["labels"], **{n: before["labels"].get(n, {}) | x for n, x in (labels or {}).items()}}}
+                check({n: self._open(n, w) for n, w in now.items()})
+            after = before | {"tables": before["tables"] | now, "labels": {**before["labels"], **{n: before["labels"].get(n, {}) | x for n, x in (labels or {}).items()}}}
             self._publish(after, before["version"])
         except BaseException:
             for w in written.values():

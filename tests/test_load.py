@@ -152,3 +152,18 @@ def test_post_image_checks(base):
 
 def test_every_fact_column_is_filled(base):
     assert base.read("fact_crash_person").columns == TABLES["fact_crash_person"].columns
+
+
+def test_untouched_months_keep_their_files(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    setup(w)
+    load(w, ROWS, "first")
+    before, stored = w.manifest()["tables"]["fact_crash_person"], sorted(map(repr, w.read("fact_crash_person").drop("loaded_at").collect()))
+    assert len(before) == 2 and len(set(before.values())) == 1
+    load(w, [r | {"weather": "Rain"} if r["socrata_id"] == "d" else r for r in ROWS], "second")
+    after = w.manifest()["tables"]["fact_crash_person"]
+    assert sorted(before) == sorted(after) and [m for m in before if before[m] != after[m]] == ["crash_month=2025-06-01"]
+    now = sorted(map(repr, w.read("fact_crash_person").drop("loaded_at").collect()))
+    assert len(now) == len(stored) and len(set(now) ^ set(stored)) == 2
+    load(w, [r | {"weather": "Rain"} if r["socrata_id"] == "d" else r for r in ROWS], "third")
+    assert w.manifest()["tables"]["fact_crash_person"] == after
