@@ -79,10 +79,20 @@ FILE_ROWS, FEW_FILES = 1_000_000, 8
 
 
 class Written:
-    """Tables written to the shared folder: they cut lineage and survive the loss of any executor."""
+    """Tables written to the shared folder: they cut lineage and survive the loss of any executor.
+
+    A result may read them as long as the driver lives; they are deleted when it ends.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/starpanel-{uuid.uuid4().hex}"
+        path, files = self._path("")
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+
+    def _path(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def __call__(self, df: DataFrame, name: str, replaces: str | None = None, rows: int | None = None) -> DataFrame:
         """``rows``: about how many there are, so that a small table is not written as many small files."""
@@ -94,17 +104,17 @@ class Written:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = self._path(name)
+        files.delete(path, True)
 
 
 def components(written: Written, edges: DataFrame, tag: str, rounds: int = 60) -> DataFrame:
     """(node, component): every node of ``edges`` (u, v) with the smallest node that it reaches.
 
     Labels take the minimum over neighbours, then the label of their label, until none changes; each round is
-    written to the shared folder; edges are kept on the executors' disks and made again where one is lost. Rounds grow with the logarithm of a component's diameter. The minimum is
-    pre-aggregated before its shuffle, so a node with very many edges costs one row for each task.
+    written to the shared folder; edges are kept on the executors' disks and made again where one is lost. Rounds
+    grow with the logarithm of a component's diameter. The minimum is pre-aggregated before its shuffle, so a node with
+    very many edges costs one row for each task.
     """
     both = edges.where("u <> v").select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
     both = both.select("e.u", "e.v").distinct().persist(StorageLevel.DISK_ONLY)
