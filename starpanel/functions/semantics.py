@@ -103,7 +103,7 @@ def content_hash(json: Column) -> Column:
 
 def unanimous(c: Column) -> Column:
     """An aggregate: the group's value if all rows share one that isn't NULL."""
-    return F.when((F.count_distinct(c) == 1) & (F.count_if(c.isNull()) == 0), F.max(c))
+    return F.when((F.min(c) == F.max(c)) & (F.count_if(c.isNull()) == 0), F.max(c))
 
 
 def cell_name(c: Column) -> Column:

@@ -8,6 +8,7 @@ file system.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import json
 import os
@@ -26,6 +27,8 @@ from starpanel.schema import TABLES, empty
 
 _NAME = re.compile(r"[a-z][a-z0-9_]{0,62}")
 _LABEL_KEY, _LABEL_VALUE = re.compile(r"[a-z][a-z0-9_-]{0,62}"), re.compile(r"[a-z0-9_-]{0,63}")
+#: Shuffled MB that one task sorts and writes: rows with many nulls take over twenty times as much once they are read.
+SORTED_MB = 32
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -49,6 +52,22 @@ def scratch(spark: SparkSession) -> str:
     return os.path.join(where.removeprefix("file://"), f"warehouse-{uuid.uuid4().hex}")
 
 
+@contextlib.contextmanager
+def _tasks_of_at_most(spark: SparkSession, mb: int):
+    """What is written meanwhile is dealt out in parts of so many shuffled MB, or smaller ones if the session asks for them."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, own = spark.conf.get(key), spark.conf.get(key, None)
+    size = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", before.strip().lower())
+    if size and int(size[1]) * 1024 ** "bkmgtp".find(size[2] or "b") <= mb * 2**20:
+        yield
+        return
+    spark.conf.set(key, f"{mb}m")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own) if own is not None else spark.conf.unset(key)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, os.path.abspath(root)
@@ -98,17 +117,19 @@ class Warehouse:
         return self.spark.read.schema(TABLES[name].schema).parquet(path).select(*TABLES[name].schema.names)
 
     def write(self, df: DataFrame, name: str) -> str:
-        """Writes a version of a table, clustered and partitioned as registered; it isn't visible yet."""
+        """Writes a version of a table, clustered and partitioned as registered; it isn't visible yet. Columns that the
+        frame lacks are read as nulls."""
         if not _NAME.fullmatch(name):
             raise ValueError(f"bad table name {name!r}")
         where = f"{name}/{uuid.uuid4().hex}"
         spec = TABLES.get(name)
-        if spec and spec.cluster:
-            df = df.sortWithinPartitions(*spec.cluster)
-        writer = df.write
+        cluster = [k for k in spec.cluster if k in df.columns] if spec else []
         if spec and spec.partition == ("crash_month",):
-            writer = df.withColumn("crash_month", F.trunc("crash_date", "MM")).hint("rebalance", "crash_month").sortWithinPartitions("crash_month", *spec.cluster).write.partitionBy("crash_month")
-        writer.parquet(os.path.join(self.root, where))
+            writer = df.withColumn("crash_month", F.trunc("crash_date", "MM")).hint("rebalance", "crash_month").sortWithinPartitions("crash_month", *cluster).write.partitionBy("crash_month")
+        else:
+            writer = (df.sortWithinPartitions(*cluster) if cluster else df).write
+        with _tasks_of_at_most(self.spark, SORTED_MB):
+            writer.parquet(os.path.join(self.root, where))
         return where
 
     def commit(
