@@ -21,12 +21,13 @@ def fall_through(fact: DataFrame, keys: dict[str, tuple[str, int]]) -> DataFrame
 
 
 def grain(fact: DataFrame) -> DataFrame:
-    """Rows, crashes and oddities per source; crashes are collapsed once and joined back by source and crash."""
+    """Rows, crashes and oddities per source. Crashes are collapsed once; one has several dates if its first isn't its
+    last, which takes no row for each of its dates."""
     per = fact.groupBy("source_dataset", "instanceid").agg(
-        (F.count_distinct("crash_date") > 1).alias("multi"), F.count("*").alias("n"), F.count_if(c("neighborhood").isNull()).alias("blank"), F.max("crash_date").alias("newest"))
+        F.min("crash_date").alias("oldest"), F.max("crash_date").alias("newest"), F.count("*").alias("n"), F.count_if(c("neighborhood").isNull()).alias("blank"))
     out = per.groupBy("source_dataset").agg(
         F.sum("n").alias("fact_rows"), F.count("*").alias("distinct_crashes"), F.round(F.try_divide(F.sum("n"), F.count("*")), 3).alias("persons_per_crash"),
-        F.count_if("multi").alias("multi_date_crashes"), F.count_if(c("blank") > 0).alias("crashes_without_neighborhood"), F.max("newest").alias("newest_crash_date"))
+        F.count_if(c("oldest") < c("newest")).alias("multi_date_crashes"), F.count_if(c("blank") > 0).alias("crashes_without_neighborhood"), F.max("newest").alias("newest_crash_date"))
     ids = fact.groupBy("source_dataset").agg(F.count_distinct("socrata_id").alias("ids"))
     return out.join(ids, "source_dataset").select(
         "source_dataset", "fact_rows", "distinct_crashes", "persons_per_crash", "multi_date_crashes", (c("fact_rows") - c("ids")).alias("repeated_socrata_ids"), "crashes_without_neighborhood", "newest_crash_date")

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from starpanel.plans import library  # noqa: F401
+from starpanel.plans import library, reports  # noqa: F401
 from starpanel.plans.catalogue import QUERIES
 from starpanel.schema import conform
 from starpanel.sources.store import SORTED_MB, Warehouse, _tasks_of_at_most
@@ -38,6 +38,16 @@ def test_second_load_moves_content_once(spark, data):
     assert size < 160 * lines
 
 
+def test_grain_takes_no_row_for_each_date(spark):
+    """A crash of 20,000 dates, one of one date and one of none, whose rows meet as one row of each task."""
+    f = spark.sql("""SELECT 'owned' AS source_dataset, CASE WHEN id < 20000 THEN 'many' WHEN id < 20010 THEN 'one' ELSE 'none' END AS instanceid,
+     CASE WHEN id < 20000 THEN date_add(DATE '1970-01-01', CAST(id AS INT)) WHEN id < 20009 THEN DATE '1970-01-01' END AS crash_date, 'x' AS socrata_id, CAST(NULL AS STRING) AS neighborhood FROM range(20020)""")
+    got = []
+    _, rows = moved(spark, lambda: got.extend(reports.grain(f).collect()))
+    assert rows < 200
+    assert [tuple(r) for r in got] == [("owned", 20020, 3, 6673.333, 1, 20019, 3, dt.date(1970, 1, 1) + dt.timedelta(days=19999))]
+
+
 def test_lacking_columns_are_nulls(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path / "w"))
     rows = spark.createDataFrame([("a", dt.date(2026, 1, 2), 3), ("b", None, 4)], "instanceid string, crash_date date, person_count long")
